@@ -1 +1,3 @@
-"""All registered queries."""
+"""All registered queries; importing this package fills the registry."""
+
+from bindings.queries import challenges, experiments, growth, signup, tours  # noqa: F401

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,12 +60,27 @@ def _json_number(payload: Column, name: str) -> Column:
     return F.get_json_object(payload, f"$.{name}").cast("int")
 
 
+def _once(method):
+    """Build each table once per ``Tables`` object."""
+
+    @wraps(method)
+    def remembered(self, *args):
+        key = (method.__name__, *args)
+        if key not in self._built:
+            self._built[key] = method(self, *args)
+        return self._built[key]
+
+    return remembered
+
+
 class Tables:
     """Analytics tables for one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
+        self._built = {}
 
+    @_once
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
@@ -75,13 +90,15 @@ class Tables:
         """The event log.  Given type lists, only the source tables that can
         hold those types are read, as a log partitioned by family would allow."""
         wanted = {t for group in groups for t in group}
-        parts = [
-            getattr(self, f"_{family}")()
-            for family, types in rules.FAMILIES.items()
-            if not wanted or wanted & set(types)
-        ]
-        return reduce(DataFrame.unionByName, parts)
+        return self._log(
+            tuple(f for f, types in rules.FAMILIES.items() if not wanted or wanted & set(types))
+        )
+
+    @_once
+    def _log(self, families: tuple[str, ...]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [getattr(self, f"_{f}")() for f in families])
 
+    @_once
     def _relative(self) -> DataFrame:
         u, k = F.col("user_id"), F.col("k")
         day = F.datediff("ts", F.lit("2024-01-01").cast("date"))
@@ -119,6 +136,7 @@ class Tables:
             )
         )
 
+    @_once
     def _signup(self) -> DataFrame:
         u, n = F.col("o_custkey"), F.col("o_orderkey")
         cookie = _text("c", _div(u, 2))
@@ -200,6 +218,7 @@ class Tables:
             .alias("ExtraInfo3"),
         )
 
+    @_once
     def _activity(self) -> DataFrame:
         u, n = F.col("l_partkey"), F.col("l_orderkey")
         line = F.col("l_linenumber")
@@ -217,6 +236,7 @@ class Tables:
             F.lit(None).cast("string").alias("ExtraInfo3"),
         )
 
+    @_once
     def _shop(self) -> DataFrame:
         u, n = F.col("o_custkey"), F.col("o_orderkey")
         project = n % 2 == 0
@@ -236,6 +256,7 @@ class Tables:
 
     # --- dimensions ----------------------------------------------------------
 
+    @_once
     def user_current(self) -> DataFrame:
         u = F.col("c_custkey")
         signed = signup_at(u)
@@ -255,6 +276,7 @@ class Tables:
             certified(8, 500).alias("ExpertCertifiedDate"),
         )
 
+    @_once
     def company_current(self) -> DataFrame:
         s = F.col("s_suppkey")
         return self.raw("supplier").select(
@@ -266,6 +288,7 @@ class Tables:
             F.when(s % 2 == 0, 1).otherwise(0).alias("IsUniversity"),
         )
 
+    @_once
     def users_month(self) -> DataFrame:
         u = F.col("l_partkey")
         day = F.to_date(F.col("l_shipdate") + F.make_ym_interval(F.lit(20)))
@@ -299,6 +322,7 @@ class Tables:
             )
         )
 
+    @_once
     def projects(self) -> DataFrame:
         n, u = F.col("o_orderkey"), F.col("o_custkey")
         created = F.col("o_orderdate") + F.make_ym_interval(F.lit(20)) + _hours(n % 24)
@@ -318,6 +342,7 @@ class Tables:
             _text("status", n % 3).alias("AppStatus"),
         )
 
+    @_once
     def user_lead(self) -> DataFrame:
         u = F.col("c_custkey")
         return self.raw("customer").where(u % 3 != 1).select(
@@ -325,6 +350,7 @@ class Tables:
             _text("L", u - u % 2).alias("LeadId"),
         )
 
+    @_once
     def lead_current(self) -> DataFrame:
         p = F.col("p_partkey")
         return self.raw("part").select(
@@ -348,6 +374,7 @@ class Tables:
             F.when(p % 12 == 8, "A. Stone").otherwise("B. Field").alias("Lead_Owner_String__c"),
         )
 
+    @_once
     def experiment_current(self) -> DataFrame:
         r = F.col("r_regionkey")
         starts = [_ts("2018-01-01"), _ts("2018-06-01"), _ts("2018-06-01"), F.lit(None), _ts("2020-05-01")]
@@ -360,6 +387,7 @@ class Tables:
             _pick(ids, r).alias("UniqueId"), at(starts).alias("StartDate"), at(ends).alias("EndDate")
         )
 
+    @_once
     def gamification(self) -> DataFrame:
         u = F.col("c_custkey")
         return self.raw("customer").where(u % 3 != 1).select(

@@ -46,19 +46,14 @@ def challenge_ends(events: DataFrame) -> DataFrame:
     ends = _ended(events, taxonomy.CHALLENGE_EXPIRED, "Expired").unionByName(
         _ended(events, taxonomy.CHALLENGE_COMPLETED, "Completed")
     )
-    keys = ["OpenId", "ChallengeId"]
-    matched = rel.latest_before(
+    return rel.latest_before(
         ends.withColumnRenamed("DateTimeEnded", "at"),
         _assigned(events).withColumnRenamed("TimeChallengeAssigned", "at"),
-        keys, "ChangedId",
+        ["OpenId", "ChallengeId"], "ChangedId",
     ).select(
-        *keys, F.col("at").alias("DateTimeEnded"),
+        "OpenId", "ChallengeId", "Status", F.col("found_at").alias("TimeChallengeAssigned"),
+        F.col("at").alias("DateTimeEnded"),
         F.col("ChangedId").alias("LastChallengeEventChangedId"),
-        F.col("found_at").alias("TimeChallengeAssigned"),
-    )
-    return ends.join(matched, [*keys, "DateTimeEnded"], "left").select(
-        *keys, "Status", "TimeChallengeAssigned", "DateTimeEnded",
-        "LastChallengeEventChangedId",
     )
 
 
@@ -68,9 +63,7 @@ def challenge_progress(events: DataFrame) -> DataFrame:
     Event ids must be unique.
     """
     ends = challenge_ends(events)
-    used = ends.where(F.col("LastChallengeEventChangedId").isNotNull()).select(
-        F.col("LastChallengeEventChangedId").alias("ChangedId")
-    )
+    used = ends.select(F.col("LastChallengeEventChangedId").alias("ChangedId")).distinct()
     current = (
         _assigned(events)
         .join(used, "ChangedId", "left_anti")
@@ -125,18 +118,13 @@ def challenge_activity(
         .groupBy("OpenId", F.col("Timestamp").alias("at"))
         .agg(*_category_counts(categories, "Activity"))
     )
-    windows = progress.where(F.col("TimeChallengeAssigned").isNotNull()).select(
-        "OpenId", F.col("TimeChallengeAssigned").alias("low"),
-        dates.plus_days(F.col("TimeChallengeAssigned"), days).alias("high"),
-    )
-    counted = rel.count_in_windows(windows, per_instant, ["OpenId"], names).select(
-        "OpenId", F.col("low").alias("TimeChallengeAssigned"), *names
-    )
-    return progress.join(counted, ["OpenId", "TimeChallengeAssigned"], "left").select(
+    start = F.col("TimeChallengeAssigned")
+    span = rel.Span(start, dates.plus_days(start, days))
+    return rel.sum_in_spans(progress, per_instant, ["OpenId"], names, {"": span}).select(
         "OpenId", "ChallengeId", "Status", "TimeChallengeAssigned", "DateTimeEnded",
         "LastChallengeEventChangedId",
         F.col("DateChallengeAssigned").alias("DateAssigned"),
-        "DateEnded", "TimeDiff", *[F.coalesce(n, F.lit(0)).alias(n) for n in names],
+        "DateEnded", "TimeDiff", *names,
     )
 
 
@@ -278,51 +266,28 @@ def before_after_activity(
     per_instant = (
         rel.event_scan(events, learn_types)
         .groupBy("OpenId", F.col("Timestamp").alias("at"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("LearnActivity"))
     )
-    moments = base.select("OpenId", "Timestamp", "DateAssigned").distinct()
+    moment = F.col("Timestamp")
     first_day = F.date_add("DateAssigned", 1 - days).cast(zone_free)
     last_day = F.date_add("DateAssigned", days).cast(zone_free)
-    def end(half: int, at: Column, closed: bool, sign: int) -> Column:
-        return F.struct(
-            F.lit(half).alias("half"), at.alias("at"),
-            F.lit(closed).alias("closed"), F.lit(sign).alias("sign"),
-        )
-
-    moment = F.col("Timestamp")
-    ends = F.array(
-        end(-1, first_day, False, -1),
-        end(-1, moment, False, 1),
-        end(1, moment, True, -1),
-        end(1, last_day, False, 1),
-    )
-    spans = moments.select("OpenId", "Timestamp", F.explode(ends).alias("end")).select(
-        "OpenId", "Timestamp", "end.*"
-    )
-    totals = rel.prefix_totals(spans, per_instant, ["OpenId"], {"n": "sum"})
-    part = F.col("sign") * F.col("n")
-    learned = (
-        spans.join(totals, ["OpenId", "at", "closed"], "inner")
-        .groupBy("OpenId", "Timestamp")
-        .agg(
-            F.sum(F.when(F.col("half") == -1, part)).alias(BEFORE),
-            F.sum(F.when(F.col("half") == 1, part)).alias("LearnActivityAfterChallenge"),
-        )
+    learned = rel.sum_in_spans(
+        base, per_instant, ["OpenId"], ["LearnActivity"],
+        {
+            "Before": rel.Span(first_day, moment, True, False),
+            "After": rel.Span(moment, last_day, False, False),
+        },
     )
     claims = (
         challenge.where(F.col("EventType") == taxonomy.CHALLENGE_CLAIMED)
         .groupBy("OpenId", F.col("ExtraInfo1").alias("ChallengeID"))
         .agg(F.count("OpenId").alias("CountCreditsClaimed"))
     )
-    return (
-        base.join(learned, ["OpenId", "Timestamp"], "left")
-        .join(claims, ["OpenId", "ChallengeID"], "left")
-        .select(
-            "OpenId", "ChallengeID", "Timestamp", "DateAssigned", "CompanyId", "SignupDate",
-            F.coalesce("CountCreditsClaimed", F.lit(0)).alias("CountCreditsClaimed"),
-            BEFORE, "LearnActivityAfterChallenge",
-            (
-                F.col("LearnActivityAfterChallenge") - F.col(BEFORE)
-            ).alias("DiffLearnActivity"),
-        )
+    before, after = F.col("BeforeLearnActivity"), F.col("AfterLearnActivity")
+    return learned.join(claims, ["OpenId", "ChallengeID"], "left").select(
+        "OpenId", "ChallengeID", "Timestamp", "DateAssigned", "CompanyId", "SignupDate",
+        F.coalesce("CountCreditsClaimed", F.lit(0)).alias("CountCreditsClaimed"),
+        before.alias(BEFORE),
+        after.alias("LearnActivityAfterChallenge"),
+        (after - before).alias("DiffLearnActivity"),
     )

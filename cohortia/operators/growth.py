@@ -51,69 +51,50 @@ def growth_users(users: DataFrame, *, internal: str) -> DataFrame:
 
 
 _USER_COLUMNS = ["UserId", "CompanyType", "SignupDate", "LowerBoundary", "UpperBoundary"]
+_INVITE_COLUMNS = [
+    "NumberInvitesToNonMembers", "NumberInvitesToNonMembersWithinFirst30Days",
+]
+
+
+def _base(users: DataFrame, company: DataFrame) -> DataFrame:
+    return rel.with_company_type(users, company).select(*_USER_COLUMNS)
 
 
-def _activation(base: DataFrame, events: DataFrame, types: Iterable[str], days: int) -> DataFrame:
+# The three steps below each join per-user facts to rows keyed on the user and
+# group by the columns of those rows.  Grouping keys contain the join key, so a
+# chain of steps shuffles the user rows once, and repeated user rows collapse.
+
+
+def _add_activation(
+    rows: DataFrame, events: DataFrame, types: Iterable[str], days: int
+) -> DataFrame:
     first = rel.first_event(events, types, "FirstDateOfEvent").withColumnRenamed(
         "OpenId", "UserId"
     )
     elapsed = dates.day_diff(F.col("SignupDate"), F.col("FirstDateOfEvent"))
-    return base.join(first, "UserId", "left").withColumn(
-        "ActivatedWithin30days", rel.flag(elapsed <= days)
-    )
-
-
-def activation(
-    users: DataFrame,
-    events: DataFrame,
-    company: DataFrame,
-    *,
-    types: Iterable[str] = taxonomy.ACTIVATION,
-    days: int = 30,
-) -> DataFrame:
-    """First activation event per user and whether it came within ``days``.
-
-    An event before signup counts as activated; no event counts as 0.
-    ``users`` is the output of :func:`growth_users`.
-    """
-    base = rel.with_company_type(users, company)
     return (
-        _activation(base, events, types, days)
-        .select(*_USER_COLUMNS, "ActivatedWithin30days", "FirstDateOfEvent")
-        .dropDuplicates(_USER_COLUMNS)
+        rows.join(first, "UserId", "left")
+        .withColumn("ActivatedWithin30days", rel.flag(elapsed <= days))
+        .distinct()
     )
 
 
-def _days_in_window(users: DataFrame, events: DataFrame, types: Iterable[str]) -> DataFrame:
-    days = rel.active_days(events, types).withColumnRenamed("OpenId", "UserId")
-    spans = users.select("UserId", "LowerBoundary", "UpperBoundary").distinct()
-    in_window = F.col("YearMonthDay").between(F.col("LowerBoundary"), F.col("UpperBoundary"))
-    return (
-        spans.join(days, "UserId")
-        .where(in_window)
-        .groupBy("UserId", "LowerBoundary", "UpperBoundary")
-        .agg(F.count("YearMonthDay").alias("DaysActiveInSecondMonth"))
+def _add_active_days(rows: DataFrame, events: DataFrame, types: Iterable[str]) -> DataFrame:
+    days = rel.active_days(events, types).withColumnRenamed("OpenId", "DayUser")
+    in_window = (F.col("UserId") == F.col("DayUser")) & F.col("YearMonthDay").between(
+        F.col("LowerBoundary"), F.col("UpperBoundary")
     )
-
-
-def retention_second_month(
-    users: DataFrame, events: DataFrame, company: DataFrame, *, types: Iterable[str]
-) -> DataFrame:
-    """Distinct active days inside each user's closed retention window."""
-    base = rel.with_company_type(users, company).select(*_USER_COLUMNS).distinct()
-    days = _days_in_window(users, events, types).drop("LowerBoundary", "UpperBoundary")
-    count = F.coalesce("DaysActiveInSecondMonth", F.lit(0))
-    return base.join(days, "UserId", "left").select(
-        *_USER_COLUMNS,
-        count.alias("DaysActiveInSecondMonth"),
-        rel.flag(count > 0).alias("Retained"),
+    return (
+        rows.join(days, in_window, "left")
+        .groupBy(*rows.columns)
+        .agg(F.countDistinct("YearMonthDay").alias("DaysActiveInSecondMonth"))
     )
 
 
-def _invite_counts(
-    users: DataFrame, events: DataFrame, types: Iterable[str], internal: str, days: int
+def _invites_per_day(
+    users: DataFrame, events: DataFrame, types: Iterable[str], internal: str
 ) -> DataFrame:
-    """Invites to non-members per sender.
+    """Invites to non-members per sender and day.
 
     Whether the receiver was a member depends on days only, so invites are
     first combined per (sender, receiver, day) and receivers per (e-mail,
@@ -123,7 +104,7 @@ def _invite_counts(
         rel.event_scan(events, types)
         .where(text.lacks(F.col("CompanyId"), internal) & text.not_blank(F.col("OpenId")))
         .groupBy(
-            F.col("OpenId").alias("UserId"),
+            F.col("OpenId").alias("Sender"),
             F.col("ExtraInfo1").alias("email"),
             F.to_date("Timestamp").alias("InviteDay"),
         )
@@ -137,29 +118,52 @@ def _invite_counts(
     non_member = (F.col("InviteDay") < F.col("SignupDateReceiver")) | (
         F.col("SignupDateReceiver").isNull() & F.col("InviteDay").isNotNull()
     )
-    per_day = (
+    return (
         invites.join(receivers, "email", "left")
         .where(non_member)
-        .groupBy("UserId", "InviteDay")
-        .agg(F.sum(F.col("Invites") * F.coalesce("Receivers", F.lit(1))).alias("n"))
+        .groupBy("Sender", "InviteDay")
+        .agg(F.sum(F.col("Invites") * F.coalesce("Receivers", F.lit(1))).alias("Invites"))
     )
-    senders = users.select("UserId", F.col("SignupDate").alias("SignupDateSender")).distinct()
-    early = dates.day_diff(F.col("SignupDateSender"), F.col("InviteDay")) <= days
+
+
+def _add_invites(rows: DataFrame, per_day: DataFrame, days: int) -> DataFrame:
+    early = dates.day_diff(F.col("SignupDate"), F.col("InviteDay")) <= days
+    sent = F.coalesce("Invites", F.lit(0))
     return (
-        senders.join(per_day, "UserId")
-        .groupBy("UserId", "SignupDateSender")
+        rows.join(per_day, F.col("UserId") == F.col("Sender"), "left")
+        .groupBy(*rows.columns)
         .agg(
-            F.sum("n").alias("NumberInvitesToNonMembers"),
-            F.sum(F.when(early, F.col("n")).otherwise(0)).alias(
-                "NumberInvitesToNonMembersWithinFirst30Days"
-            ),
+            F.sum(sent).alias(_INVITE_COLUMNS[0]),
+            F.sum(F.when(early, sent).otherwise(0)).alias(_INVITE_COLUMNS[1]),
         )
     )
 
 
-_INVITE_COLUMNS = [
-    "NumberInvitesToNonMembers", "NumberInvitesToNonMembersWithinFirst30Days",
-]
+def activation(
+    users: DataFrame,
+    events: DataFrame,
+    company: DataFrame,
+    *,
+    types: Iterable[str] = taxonomy.ACTIVATION,
+    days: int = 30,
+) -> DataFrame:
+    """First activation event per user and whether it came within ``days``.
+
+    An event before signup counts as activated; no event counts as 0.
+    ``users`` is the output of :func:`growth_users`.
+    """
+    return _add_activation(_base(users, company), events, types, days).select(
+        *_USER_COLUMNS, "ActivatedWithin30days", "FirstDateOfEvent"
+    )
+
+
+def retention_second_month(
+    users: DataFrame, events: DataFrame, company: DataFrame, *, types: Iterable[str]
+) -> DataFrame:
+    """Distinct active days inside each user's closed retention window."""
+    return _add_active_days(_base(users, company), events, types).withColumn(
+        "Retained", rel.flag(F.col("DaysActiveInSecondMonth") > 0)
+    )
 
 
 def invites_sent(
@@ -177,15 +181,12 @@ def invites_sent(
     Several users with the receiver's e-mail each count.  Users without invites
     are kept with 0.
     """
-    base = rel.with_company_type(users, company).select(
-        F.col("UserId"), F.col("SignupDate").alias("SignupDateSender"), "CompanyType"
-    ).distinct()
-    counts = _invite_counts(users, events, types, internal, days).drop("SignupDateSender")
-    return base.join(counts, "UserId", "left").select(
+    rows = _base(users, company).select("UserId", "SignupDate", "CompanyType")
+    per_day = _invites_per_day(users, events, types, internal)
+    return _add_invites(rows, per_day, days).select(
         F.col("UserId").alias("OpenIdSender"),
-        "SignupDateSender",
-        "CompanyType",
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in _INVITE_COLUMNS],
+        F.col("SignupDate").alias("SignupDateSender"),
+        "CompanyType", *_INVITE_COLUMNS,
     )
 
 
@@ -200,28 +201,15 @@ def key_growth_metrics(
     retention_types: Iterable[str],
     days: int = 30,
 ) -> DataFrame:
-    """Activation, retention and invites side by side, one row per user.
-
-    All three parts are keyed on the user before they meet, so the joins share
-    one partitioning of the user table.
-    """
-    base = rel.with_company_type(users, company).select(*_USER_COLUMNS).distinct()
-    retained = _days_in_window(users, events, retention_types).select(
-        "UserId", "DaysActiveInSecondMonth"
-    )
-    invited = _invite_counts(users, events, invite_types, internal, days).select(
-        "UserId", *_INVITE_COLUMNS
-    )
-    joined = (
-        _activation(base, events, activation_types, days)
-        .join(retained, "UserId", "left")
-        .join(invited, "UserId", "left")
-    )
-    return joined.select(
+    """Activation, retention and invites side by side, one row per user."""
+    rows = _add_activation(_base(users, company), events, activation_types, days)
+    rows = _add_active_days(rows.drop("FirstDateOfEvent"), events, retention_types)
+    per_day = _invites_per_day(users, events, invite_types, internal)
+    return _add_invites(rows, per_day, days).select(
         *_USER_COLUMNS,
         "ActivatedWithin30days",
         rel.flag(F.col("DaysActiveInSecondMonth") > 0).alias("Retained"),
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in _INVITE_COLUMNS],
+        *_INVITE_COLUMNS,
     )
 
 

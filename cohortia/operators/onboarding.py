@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions import dates, text
@@ -81,36 +81,27 @@ def onboarding(
 ) -> DataFrame:
     """Active days per category and span, and retention in the second month.
 
-    ``users`` is the output of :func:`onboarding_users`, one row per user and
-    company name.  Events shrink to one row per user and day carrying a flag
-    per category, and one join with conditional sums yields all counts.
+    ``users`` is the output of :func:`onboarding_users`.  Events shrink to one
+    row per user and day carrying a flag per category, and one join with
+    conditional sums yields all counts.
     """
     flags = rel.day_flags(events, {**categories, "Any": tuple(activity)}).withColumnRenamed(
         "OpenId", "DayUser"
     )
-    signup = users.select(F.col("UserId").alias("DayUser"), "SignupDate").distinct()
     offset = dates.day_diff(F.col("SignupDate"), F.col("Day"))
-    near = signup.join(flags, "DayUser").withColumn("_n", offset).where(
-        F.col("_n").between(0, 60)
-    )
+    near = (F.col("UserId") == F.col("DayUser")) & offset.between(0, 60)
 
-    def days_in(category: str, span: tuple[int, int], name: str):
-        return F.sum(
-            F.when(F.col("_n").between(*span), F.col(category)).otherwise(0)
-        ).alias(name)
+    def days_in(category: str, span: tuple[int, int], name: str) -> Column:
+        return F.sum(F.when(offset.between(*span), F.col(category)).otherwise(0)).alias(name)
 
     counted = [
         (category, span, name.format(category))
         for category in categories
         for name, span in SPANS.items()
     ] + [("Any", span, name) for name, span in TOTAL_SPANS.items()]
-    names = [name for _, _, name in counted]
-    totals = near.groupBy("DayUser", "SignupDate").agg(*[days_in(*c) for c in counted])
-    totals = totals.withColumnRenamed("SignupDate", "DaySignup")
-    same_user = (F.col("UserId") == F.col("DayUser")) & (
-        F.col("SignupDate") == F.col("DaySignup")
-    )
-    joined = users.join(totals, same_user, "left").select(*_USER_COLUMNS, *[F.coalesce(n, F.lit(0)).alias(n) for n in names])
-    return joined.distinct().withColumn(
-        "Retained", rel.flag(F.col("ActiveDays30To60DaysAfterSignup") > 0)
+    return (
+        users.join(flags, near, "left")
+        .groupBy(*_USER_COLUMNS)
+        .agg(*[days_in(*c) for c in counted])
+        .withColumn("Retained", rel.flag(F.col("ActiveDays30To60DaysAfterSignup") > 0))
     )

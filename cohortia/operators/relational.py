@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,11 +159,12 @@ def prefix_totals(
 ) -> DataFrame:
     """Running totals of ``events`` looked up at each probe instant.
 
-    ``probes`` has ``keys``, ``at`` and ``closed``; ``events`` has ``keys``,
-    ``at`` and the measure columns, combined by ``'sum'`` or ``'max'``.  Each
-    distinct probe gets the measures over the events of its keys with
-    ``event.at < at`` (``<=`` when ``closed``): sums default to 0, maxima to
-    NULL.  A NULL in a key or in ``at`` matches nothing.
+    ``probes`` has ``keys``, ``at``, ``closed`` and any further columns;
+    ``events`` has ``keys``, ``at`` and the measure columns, combined by
+    ``'sum'`` or ``'max'``.  Each probe row comes back once with the measures
+    over the events of its keys with ``event.at < at`` (``<=`` when
+    ``closed``): sums default to 0, maxima to NULL.  A NULL in a key or in
+    ``at`` matches nothing.
 
     The work is linear in the input.  Events are combined per (keys, instant)
     first; a running window then covers one (keys, hour) group at a time; and
@@ -171,59 +173,62 @@ def prefix_totals(
     """
     combine = {"sum": F.sum, "max": F.max}
     keys = list(keys)
-    names = list(measures)
     present = F.col("at").isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
 
-    instants = (
-        events.where(present)
-        .groupBy(*keys, "at")
-        .agg(*[combine[how](n).alias(n) for n, how in measures.items()])
-        .withColumn("_order", F.lit(1))
-    )
-    asked = (
-        probes.where(present)
-        .select(*keys, "at", F.when(F.col("closed"), 2).otherwise(0).alias("_order"))
-        .distinct()
-    )
-    timeline = instants.unionByName(asked, allowMissingColumns=True).select(
-        "*", F.to_date("at").alias("_day"), F.hour("at").alias("_hour")
+    def combined(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        return rows.groupBy(*by).agg(*[combine[h](n).alias(n) for n, h in measures.items()])
+
+    carried_along = [c for c in probes.columns if c not in {*keys, "at", "closed"}]
+    instants = combined(events.where(present), [*keys, "at"]).withColumn("_order", F.lit(1))
+    asked = probes.select(
+        *keys, "at", F.when(F.col("closed"), 2).otherwise(0).alias("_order"),
+        F.struct(F.lit(True).alias("_probe"), *carried_along).alias("_row"),
     )
     slot = [*keys, "_day", "_hour"]
+    hours = [F.to_date("at").alias("_day"), F.hour("at").alias("_hour")]
     within = (
         Window.partitionBy(*slot)
         .orderBy("at", "_order")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    inside = timeline.select(
-        *slot, "at", "_order",
-        *[combine[how](n).over(within).alias(n) for n, how in measures.items()],
-    ).where(F.col("_order") != 1)
+    inside = (
+        instants.unionByName(asked, allowMissingColumns=True)
+        .select("*", *hours)
+        .select(
+            *slot, "at", "_order", "_row",
+            *[combine[h](n).over(within).alias(n) for n, h in measures.items()],
+        )
+        .where(F.col("_order") != 1)
+    )
 
     before = (
         Window.partitionBy(*keys)
         .orderBy("_day", "_hour")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = (
-        timeline.groupBy(*slot)
-        .agg(*[combine[how](n).alias(n) for n, how in measures.items()])
-        .select(
-            *slot,
-            *[combine[how](n).over(before).alias(f"_c_{n}") for n, how in measures.items()],
-        )
+    slots = instants.select(*keys, "at", *measures).unionByName(
+        asked.select(*keys, "at"), allowMissingColumns=True
+    )
+    earlier = combined(slots.select(*keys, *hours, *measures), slot).select(
+        *[F.col(c).alias(f"_s{c}") for c in slot],
+        *[combine[h](n).over(before).alias(f"_e{n}") for n, h in measures.items()],
     )
+    same_slot = F.lit(True)
+    for c in slot:
+        same_slot = same_slot & F.col(c).eqNullSafe(F.col(f"_s{c}"))
 
     def total(name: str, how: str) -> Column:
-        here, earlier = F.col(name), F.col(f"_c_{name}")
+        here, past = F.col(name), F.col(f"_e{name}")
         if how == "max":
-            return F.greatest(here, earlier)
-        return F.coalesce(here, F.lit(0)) + F.coalesce(earlier, F.lit(0))
+            return F.greatest(here, past)
+        return F.coalesce(here, F.lit(0)) + F.coalesce(past, F.lit(0))
 
-    return inside.join(carried, slot, "inner").select(
+    return inside.join(earlier, same_slot, "inner").select(
         *keys, "at", (F.col("_order") == 2).alias("closed"),
-        *[total(n, measures[n]).alias(n) for n in names],
+        *[F.col(f"_row.{c}").alias(c) for c in carried_along],
+        *[total(n, h).alias(n) for n, h in measures.items()],
     )
 
 
@@ -232,59 +237,69 @@ def latest_before(
 ) -> DataFrame:
     """As-of lookup: the event with the largest id strictly before each probe.
 
-    Returns the distinct probes (``keys``, ``at``) that have such an event,
-    with its id and time as ``event_id`` and ``found_at``.  "Latest" is by id,
+    Each probe row (``keys``, ``at``, ...) comes back once with ``event_id`` and
+    ``found_at``, both NULL when there is no earlier event.  "Latest" is by id,
     which equals latest by time only when ids grow with time.
     """
-    candidates = events.select(
-        *keys, "at", F.struct(F.col(event_id).alias("id"), F.col("at").alias("time")).alias("last")
-    )
+    last = F.struct(F.col(event_id).alias("id"), F.col("at").alias("time")).alias("last")
     found = prefix_totals(
-        probes.select(*keys, "at", F.lit(False).alias("closed")),
-        candidates, keys, {"last": "max"},
+        probes.withColumn("closed", F.lit(False)),
+        events.select(*keys, "at", last), keys, {"last": "max"},
     )
-    return found.where(F.col("last").isNotNull()).select(
-        *keys, "at",
-        F.col("last.id").alias(event_id), F.col("last.time").alias("found_at"),
+    return found.select(
+        *probes.columns, F.col("last.id").alias(event_id), F.col("last.time").alias("found_at")
     )
 
 
-def count_in_windows(
-    windows: DataFrame,
+@dataclass(frozen=True)
+class Span:
+    """A time window whose bounds are columns of the row it belongs to."""
+
+    low: Column
+    high: Column
+    low_closed: bool = True
+    high_closed: bool = True
+
+
+def sum_in_spans(
+    rows: DataFrame,
     events: DataFrame,
     keys: Sequence[str],
     measures: Sequence[str],
-    *,
-    low_closed: bool = True,
-    high_closed: bool = True,
+    spans: Mapping[str, Span],
 ) -> DataFrame:
-    """Sum ``measures`` of the events inside each window ``[low, high]``.
+    """Add to each distinct row the sums of ``measures`` inside its spans.
 
-    A window total is the running total at its end minus that at its start, so
-    the cost grows with windows plus events and not with their pairs.  Returns
-    one row per distinct (``keys``, ``low``, ``high``).
+    A span total is the running total at its end minus that at its start, so
+    the cost grows with rows plus events and not with their pairs.  ``spans``
+    maps a name to a span; the sums are called name + measure.  An open-ended
+    (NULL) bound gives 0.
     """
-    spans = windows.select(*keys, "low", "high").distinct()
-    ends = spans.select(
-        *keys, "low", "high",
-        F.explode(
-            F.array(
+    ends = []
+    for name, span in spans.items():
+        known = span.low.isNotNull() & span.high.isNotNull()
+        for at, closed, sign in (
+            (span.low, not span.low_closed, -1),
+            (span.high, span.high_closed, 1),
+        ):
+            ends.append(
                 F.struct(
-                    F.col("low").alias("at"), F.lit(not low_closed).alias("closed"),
-                    F.lit(-1).alias("sign"),
-                ),
-                F.struct(
-                    F.col("high").alias("at"), F.lit(high_closed).alias("closed"),
-                    F.lit(1).alias("sign"),
-                ),
+                    F.lit(name).alias("span"), F.when(known, at).alias("at"),
+                    F.lit(closed).alias("closed"), F.lit(sign).alias("sign"),
+                )
             )
-        ).alias("end"),
-    ).select(*keys, "low", "high", "end.*")
-    totals = prefix_totals(ends, events, keys, {m: "sum" for m in measures})
-    return (
-        ends.join(totals, [*keys, "at", "closed"], "inner")
-        .groupBy(*keys, "low", "high")
-        .agg(*[F.sum(F.col("sign") * F.col(m)).alias(m) for m in measures])
+    probes = rows.select("*", F.explode(F.array(*ends)).alias("_end")).select(
+        *rows.columns, "_end.*"
+    )
+    totals = prefix_totals(probes, events, keys, {m: "sum" for m in measures})
+    return totals.groupBy(*rows.columns).agg(
+        *[
+            F.sum(F.when(F.col("span") == name, F.col("sign") * F.col(m)).otherwise(0)).alias(
+                f"{name}{m}"
+            )
+            for name in spans
+            for m in measures
+        ]
     )
 
 
