@@ -1,3 +1,5 @@
 """All registered queries; importing this package fills the registry."""
 
-from bindings.queries import challenges, experiments, growth, signup, tours  # noqa: F401
+from bindings.queries import (  # noqa: F401
+    challenges, experiments, growth, primitives, signup, tours,
+)

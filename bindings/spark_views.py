@@ -5,61 +5,47 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce, wraps
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bindings import rules
 
-EVENT_COLUMNS = [
-    "ChangedId", "OpenId", "EventType", "Timestamp", "CompanyId",
-    "ExtraInfo1", "ExtraInfo2", "ExtraInfo3",
-]
 
+def _pick(values: list[str], index: str) -> str:
+    return "element_at(array(" + ", ".join(f"'{v}'" for v in values) + f"), int({index}) + 1)"
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
 
+def _days(n: str) -> str:
+    return f"make_dt_interval(int({n}))"
 
-def _div(value: Column, by: int) -> Column:
-    return F.floor(value / by)
 
+def _hours(n: str) -> str:
+    return f"make_dt_interval(0, int({n}))"
 
-def _text(*parts) -> Column:
-    return F.concat(*[p.cast("string") if isinstance(p, Column) else F.lit(p) for p in parts])
 
+def _later(column: str, hours: str, minutes: str = "0") -> str:
+    return f"{column} + INTERVAL '20' YEAR + make_dt_interval(0, int({hours}), int({minutes}))"
 
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n.cast("int"))
 
+def open_id(u: str) -> str:
+    return f"CASE WHEN {u} % 97 = 13 THEN '' WHEN {u} % 97 <> 14 THEN string({u}) END"
 
-def _hours(n: Column) -> Column:
-    return F.make_dt_interval(F.lit(0), n.cast("int"))
 
-
-def open_id(u: Column) -> Column:
+def company_id(u: str) -> str:
     return (
-        F.when(u % 97 == 13, "").when(u % 97 == 14, F.lit(None)).otherwise(u.cast("string"))
+        f"CASE WHEN {u} % 53 = 52 THEN NULL"
+        f" WHEN {u} % 23 = 22 THEN if({u} % 2 = 0, 'Acme HQ', 'ACME labs')"
+        f" WHEN {u} % 11 = 10 THEN concat('X', {u}) ELSE concat('S', {u} div 20) END"
     )
 
 
-def company_id(u: Column) -> Column:
+def signup_at(u: str) -> str:
     return (
-        F.when(u % 53 == 52, F.lit(None))
-        .when(u % 23 == 22, F.when(u % 2 == 0, "Acme HQ").otherwise("ACME labs"))
-        .when(u % 11 == 10, _text("X", u))
-        .otherwise(_text("S", _div(u, 20)))
+        f"if({u} % 61 <> 60, TIMESTAMP_NTZ'2016-01-01' + {_days(f'{u} * 37 % 1500')}"
+        f" + {_hours(f'{u} % 24')}, NULL)"
     )
 
 
-def signup_at(u: Column) -> Column:
-    start = F.lit("2016-01-01 00:00:00").cast("timestamp_ntz")
-    return F.when(u % 61 != 60, start + _days(u * 37 % 1500) + _hours(u % 24))
-
-
-def _json_number(payload: Column, name: str) -> Column:
-    return F.get_json_object(payload, f"$.{name}").cast("int")
-
-
 def _once(method):
     """Build each table once per ``Tables`` object."""
 
@@ -100,303 +86,228 @@ class Tables:
 
     @_once
     def _relative(self) -> DataFrame:
-        u, k = F.col("user_id"), F.col("k")
-        day = F.datediff("ts", F.lit("2024-01-01").cast("date"))
-        n = F.col("event_id")
-        kind = F.col("EventType")
-        is_step = kind == "WmIntroTutorialStep"
-        is_invite = kind.endswith("InviteSent")
-        receiver = F.when(k % 10 == 9, _text("nobody", k, "@example.com")).otherwise(
-            _text("user", u + k * 3, "@example.com")
-        )
+        days = "u * 37 % 1500 - 5 + 2 * datediff(ts, DATE'2024-01-01') - 2922"
+        step, ended = "EventType = 'WmIntroTutorialStep'", "EventType = 'GuidanceTourEnded'"
         return (
             self.raw("events")
-            .withColumn("k", _json_number(F.col("props"), "k"))
-            .withColumn("EventType", _pick(rules.RELATIVE_TYPES, n % 24))
-            .select(
-                ((_div(n, 4096) * 4096 + 4095 - n % 4096) * 4).alias("ChangedId"),
-                open_id(u).alias("OpenId"),
+            .selectExpr(
+                "event_id", "ts", "user_id AS u", "int(get_json_object(props, '$.k')) AS k",
+                _pick(rules.RELATIVE_TYPES, "event_id % 24") + " AS EventType",
+            )
+            .selectExpr(
+                "(event_id div 4096 * 4096 + 4095 - event_id % 4096) * 4 AS ChangedId",
+                f"{open_id('u')} AS OpenId",
                 "EventType",
-                (F.col("ts") + _days(u * 37 % 1500 - 5 + 2 * day - 2922)).alias("Timestamp"),
-                company_id(u).alias("CompanyId"),
-                F.when(is_step, _pick(rules.STEPS, k % 6))
-                .when(kind.startswith("Guidance"), _text("flow", k % 3))
-                .when(kind.startswith("Challenge"), _text("challenge", k % 2))
-                .when(is_invite, receiver)
-                .alias("ExtraInfo1"),
-                F.when(is_step, _pick(rules.TUTORIALS, (u + k % 2) % 7))
-                .when(kind == "GuidanceTourEnded", _pick(rules.OUTCOMES, k % 4))
-                .alias("ExtraInfo2"),
-                F.when(kind == "GuidanceTourStarted", _text("r", k % 5))
-                .when(
-                    kind == "GuidanceTourEnded",
-                    F.when(k % 17 == 0, "n/a").otherwise((k % 13).cast("string")),
-                )
-                .alias("ExtraInfo3"),
+                f"ts + {_days(days)} AS Timestamp",
+                f"{company_id('u')} AS CompanyId",
+                f"""CASE WHEN {step} THEN {_pick(rules.STEPS, 'k % 6')}
+                    WHEN EventType LIKE 'Guidance%' THEN concat('flow', k % 3)
+                    WHEN EventType LIKE 'Challenge%' THEN concat('challenge', k % 2)
+                    WHEN EventType LIKE '%InviteSent' THEN
+                      if(k % 10 = 9, concat('nobody', k, '@example.com'), concat('user', u + k * 3, '@example.com'))
+                    END AS ExtraInfo1""",
+                f"""CASE WHEN {step} THEN {_pick(rules.TUTORIALS, '(u + k % 2) % 7')}
+                    WHEN {ended} THEN {_pick(rules.OUTCOMES, 'k % 4')} END AS ExtraInfo2""",
+                f"""CASE WHEN EventType = 'GuidanceTourStarted' THEN concat('r', k % 5)
+                    WHEN {ended} THEN if(k % 17 = 0, 'n/a', string(k % 13)) END AS ExtraInfo3""",
             )
         )
 
     @_once
     def _signup(self) -> DataFrame:
-        u, n = F.col("o_custkey"), F.col("o_orderkey")
-        cookie = _text("c", _div(u, 2))
-        hash_ = F.when(n % 13 == 12, _text("h", u, "b")).otherwise(_text("h", u))
-        hash_ = F.when(n % 31 != 30, hash_)
-        kind, turn = n % 6, _div(n, 6)
-        group = F.when((_div(u, 2) + F.when(n % 10 == 0, 1).otherwise(0)) % 2 == 0, "A").otherwise("B")
-        group = F.when(n % 47 == 46, "").when(n % 23 == 22, "C").otherwise(group)
-        visit = (
-            F.when(n % 41 == 40, "")
-            .when(n % 43 == 42, F.lit(None))
-            .when(n % 37 == 36, _text('{"GroupName":"', group, '"}'))
-            .otherwise(
-                _text('{"GroupName":"', group, '","Experiment":{"ID":"exp', _div(u, 2) % 4, '"}}')
-            )
-        )
-        started = (
-            F.when(n % 19 == 18, "")
-            .when(n % 17 == 16, '{"HasStudentDomain":"false"}')
-            .otherwise(
-                _text(
-                    '{"CookieID":"', cookie, '","HasStudentDomain":"',
-                    F.when(u % 5 == 0, "true").otherwise("false"),
-                    '","StudentType":"t', n % 3, '","Brand":"b', n % 4, '","Source":',
-                    F.when(n % 7 == 6, '{"a":1}').otherwise('"web"'),
-                    ',"IpAddress":"10.0.0.1","AreaOfFocus":"area', n % 5,
-                    '","JobRole":"role', n % 2, '"}',
-                )
-            )
-        )
-        yes = lambda r: F.when(turn % 3 == r, "true").otherwise("false")
-        page = _pick(rules.PAGES, turn % 4)
-        step = (
-            F.when(n % 29 == 28, "not json")
-            .when(
-                turn % 4 == 0,
-                _text(
-                    '{"PageStatus":"', F.when(n % 3 == 0, "done").otherwise("shown"),
-                    f'","Questions":[{{"QuestionName":"{rules.QUESTION}","Answers":[',
-                    '{"AnswerContent":"No-code","SortOrder":1,"Selected":"', yes(0), '"},',
-                    '{"AnswerContent":"Low-code","SortOrder":2,"Selected":"', yes(1), '"},',
-                    '{"AnswerContent":"Project management","SortOrder":3,"Selected":"',
-                    F.when(n % 2 == 0, "true").otherwise("false"), '"}]}]}',
-                ),
-            )
-            .when(
-                turn % 4 == 1,
-                '{"PageStatus":"shown","Questions":{"QuestionName":"Role?","Answers":'
-                '{"AnswerContent":"Dev","SortOrder":1,"Selected":true}}}',
+        turn = lambda r: f"if(turn % 3 = {r}, 'true', 'false')"
+        visit = """CASE WHEN n % 41 = 40 THEN '' WHEN n % 43 = 42 THEN NULL
+            WHEN n % 37 = 36 THEN concat('{"GroupName":"', grp, '"}')
+            ELSE concat('{"GroupName":"', grp, '","Experiment":{"ID":"exp', u div 2 % 4, '"}}') END"""
+        started = """CASE WHEN n % 19 = 18 THEN '' WHEN n % 17 = 16 THEN '{"HasStudentDomain":"false"}'
+            ELSE concat('{"CookieID":"', cookie, '","HasStudentDomain":"', if(u % 5 = 0, 'true', 'false'),
+              '","StudentType":"t', n % 3, '","Brand":"b', n % 4, '","Source":', if(n % 7 = 6, '{"a":1}', '"web"'),
+              ',"IpAddress":"10.0.0.1","AreaOfFocus":"area', n % 5, '","JobRole":"role', n % 2, '"}') END"""
+        step = f"""CASE WHEN n % 29 = 28 THEN 'not json'
+            WHEN turn % 4 = 0 THEN concat('{{"PageStatus":"', if(n % 3 = 0, 'done', 'shown'),
+              '","Questions":[{{"QuestionName":"{rules.QUESTION}","Answers":[',
+              '{{"AnswerContent":"No-code","SortOrder":1,"Selected":"', {turn(0)},
+              '"}},{{"AnswerContent":"Low-code","SortOrder":2,"Selected":"', {turn(1)},
+              '"}},{{"AnswerContent":"Project management","SortOrder":3,"Selected":"',
+              if(n % 2 = 0, 'true', 'false'), '"}}]}}]}}')
+            WHEN turn % 4 = 1 THEN concat('{{"PageStatus":"shown","Questions":{{"QuestionName":"Role?","Answers":',
+              '{{"AnswerContent":"Dev","SortOrder":1,"Selected":true}}}}}}')
+            WHEN turn % 4 = 2 THEN concat('{{"PageStatus":"done","Questions":[{{"QuestionName":"AgreeToEmail?",',
+              '"Answers":[{{"AnswerContent":"Agree","SortOrder":1,"Selected":"', {turn(0)},
+              '"}},{{"AnswerContent":"Disagree","SortOrder":2,"Selected":"', {turn(1)}, '"}}]}}]}}')
+            ELSE '{{"PageStatus":"shown","Questions":[]}}' END"""
+        return (
+            self.raw("orders")
+            .selectExpr(
+                "o_orderkey AS n", "o_custkey AS u", "o_orderdate", "o_orderkey div 6 AS turn",
+                "o_orderkey % 6 AS kind", "concat('c', o_custkey div 2) AS cookie",
+                """CASE WHEN o_orderkey % 47 = 46 THEN '' WHEN o_orderkey % 23 = 22 THEN 'C'
+                   WHEN (o_custkey div 2 + if(o_orderkey % 10 = 0, 1, 0)) % 2 = 0 THEN 'A' ELSE 'B' END AS grp""",
+                """CASE WHEN o_orderkey % 31 = 30 THEN NULL WHEN o_orderkey % 13 = 12 THEN concat('h', o_custkey, 'b')
+                   ELSE concat('h', o_custkey) END AS h""",
             )
-            .when(
-                turn % 4 == 2,
-                _text(
-                    '{"PageStatus":"done","Questions":[{"QuestionName":"AgreeToEmail?","Answers":[',
-                    '{"AnswerContent":"Agree","SortOrder":1,"Selected":"', yes(0), '"},',
-                    '{"AnswerContent":"Disagree","SortOrder":2,"Selected":"', yes(1), '"}]}]}',
-                ),
+            .selectExpr(
+                "n * 4 + 1 AS ChangedId",
+                f"{open_id('u')} AS OpenId",
+                _pick(rules.SIGNUP_TYPES, "kind") + " AS EventType",
+                _later("o_orderdate", "n % 24") + " AS Timestamp",
+                f"{company_id('u')} AS CompanyId",
+                f"CASE kind WHEN 0 THEN cookie WHEN 2 THEN {_pick(rules.REASONS, 'n % 4')} ELSE h END AS ExtraInfo1",
+                f"""CASE WHEN kind = 1 THEN concat('user', u, if(u % 23 = 22, '@ACME.example', '@example.com'))
+                    WHEN kind >= 4 THEN {_pick(rules.PAGES, 'turn % 4')} END AS ExtraInfo2""",
+                f"CASE WHEN kind = 0 THEN {visit} WHEN kind = 1 THEN {started} WHEN kind = 2 THEN h"
+                f" WHEN kind >= 4 THEN {step} END AS ExtraInfo3",
             )
-            .otherwise('{"PageStatus":"shown","Questions":[]}')
-        )
-        email = F.when(u % 23 == 22, _text("user", u, "@ACME.example")).otherwise(
-            _text("user", u, "@example.com")
-        )
-        return self.raw("orders").select(
-            (n * 4 + 1).alias("ChangedId"),
-            open_id(u).alias("OpenId"),
-            _pick(rules.SIGNUP_TYPES, kind).alias("EventType"),
-            (F.col("o_orderdate") + F.make_ym_interval(F.lit(20)) + _hours(n % 24)).alias(
-                "Timestamp"
-            ),
-            company_id(u).alias("CompanyId"),
-            F.when(kind == 0, cookie)
-            .when(kind == 2, _pick([*rules.REASONS], n % 4))
-            .otherwise(hash_)
-            .alias("ExtraInfo1"),
-            F.when(kind == 1, email).when(kind >= 4, page).alias("ExtraInfo2"),
-            F.when(kind == 0, visit).when(kind == 1, started).when(kind == 2, hash_)
-            .when(kind >= 4, step)
-            .alias("ExtraInfo3"),
         )
 
     @_once
     def _activity(self) -> DataFrame:
-        u, n = F.col("l_partkey"), F.col("l_orderkey")
-        line = F.col("l_linenumber")
-        return self.raw("lineitem").select(
-            ((n * 8 + line) * 4 + 2).alias("ChangedId"),
-            open_id(u).alias("OpenId"),
-            _pick(rules.ACTIVITY_TYPES, (n + line) % 15).alias("EventType"),
-            (
-                F.col("l_shipdate") + F.make_ym_interval(F.lit(20)) + _hours(line * 3)
-                + F.make_dt_interval(F.lit(0), F.lit(0), (n % 60).cast("int"))
-            ).alias("Timestamp"),
-            company_id(u).alias("CompanyId"),
-            _text("P", n).alias("ExtraInfo1"),
-            F.lit(None).cast("string").alias("ExtraInfo2"),
-            F.lit(None).cast("string").alias("ExtraInfo3"),
+        return self.raw("lineitem").selectExpr(
+            "(l_orderkey * 8 + l_linenumber) * 4 + 2 AS ChangedId",
+            f"{open_id('l_partkey')} AS OpenId",
+            _pick(rules.ACTIVITY_TYPES, "(l_orderkey + l_linenumber) % 15") + " AS EventType",
+            _later("l_shipdate", "l_linenumber * 3", "l_orderkey % 60") + " AS Timestamp",
+            f"{company_id('l_partkey')} AS CompanyId",
+            "concat('P', l_orderkey) AS ExtraInfo1",
+            "string(NULL) AS ExtraInfo2",
+            "string(NULL) AS ExtraInfo3",
         )
 
     @_once
     def _shop(self) -> DataFrame:
-        u, n = F.col("o_custkey"), F.col("o_orderkey")
-        project = n % 2 == 0
-        return self.raw("orders").select(
-            (n * 4 + 3).alias("ChangedId"),
-            open_id(u).alias("OpenId"),
-            _pick(rules.SHOP_TYPES, n % 6).alias("EventType"),
-            (
-                F.col("o_orderdate") + F.make_ym_interval(F.lit(20)) + _hours(n % 24)
-                + F.make_dt_interval(F.lit(0), F.lit(0), (n % 60).cast("int"))
-            ).alias("Timestamp"),
-            company_id(u).alias("CompanyId"),
-            F.when(~project, _text("OL", n)).alias("ExtraInfo1"),
-            F.when(project, F.col("o_orderpriority")).otherwise(_text("stock", n % 7)).alias("ExtraInfo2"),
-            F.when(project, _text("P", n)).otherwise((n % 9 + 1).cast("string")).alias("ExtraInfo3"),
+        return self.raw("orders").selectExpr(
+            "o_orderkey * 4 + 3 AS ChangedId",
+            f"{open_id('o_custkey')} AS OpenId",
+            _pick(rules.SHOP_TYPES, "o_orderkey % 6") + " AS EventType",
+            _later("o_orderdate", "o_orderkey % 24", "o_orderkey % 60") + " AS Timestamp",
+            f"{company_id('o_custkey')} AS CompanyId",
+            "if(o_orderkey % 2 <> 0, concat('OL', o_orderkey), NULL) AS ExtraInfo1",
+            "if(o_orderkey % 2 = 0, o_orderpriority, concat('stock', o_orderkey % 7)) AS ExtraInfo2",
+            "if(o_orderkey % 2 = 0, concat('P', o_orderkey), string(o_orderkey % 9 + 1)) AS ExtraInfo3",
         )
 
     # --- dimensions ----------------------------------------------------------
 
     @_once
     def user_current(self) -> DataFrame:
-        u = F.col("c_custkey")
-        signed = signup_at(u)
-        certified = lambda every, days: F.when(
-            u % every == 0, F.date_add(F.to_date(signed), days)
-        )
-        return self.raw("customer").select(
-            F.when(u == 13, "").otherwise(u.cast("string")).alias("OpenId"),
-            company_id(u).alias("CompanyId"),
-            _text("user", F.when(u % 29 == 28, u - 1).otherwise(u), "@example.com").alias("email"),
-            (signed + _days(u % 3)).alias("SignupDate"),
-            signed.alias("OldSignupDate"),
-            _text("NATION_", F.col("c_nationkey")).alias("Country"),
-            F.col("c_mktsegment").alias("Brand"),
-            certified(2, 100).alias("RapidCertifiedDate"),
-            certified(4, 300).alias("AdvancedCertifiedDate"),
-            certified(8, 500).alias("ExpertCertifiedDate"),
+        return (
+            self.raw("customer")
+            .selectExpr(
+                "c_custkey AS u", "c_nationkey", "c_mktsegment",
+                f"{signup_at('c_custkey')} AS signed",
+            )
+            .selectExpr(
+                "if(u = 13, '', string(u)) AS OpenId",
+                f"{company_id('u')} AS CompanyId",
+                "concat('user', if(u % 29 = 28, u - 1, u), '@example.com') AS email",
+                f"signed + {_days('u % 3')} AS SignupDate",
+                "signed AS OldSignupDate",
+                "concat('NATION_', c_nationkey) AS Country",
+                "c_mktsegment AS Brand",
+                "if(u % 2 = 0, date_add(date(signed), 100), NULL) AS RapidCertifiedDate",
+                "if(u % 4 = 0, date_add(date(signed), 300), NULL) AS AdvancedCertifiedDate",
+                "if(u % 8 = 0, date_add(date(signed), 500), NULL) AS ExpertCertifiedDate",
+            )
         )
 
     @_once
     def company_current(self) -> DataFrame:
-        s = F.col("s_suppkey")
-        return self.raw("supplier").select(
-            _text("S", s).alias("CompanyId"),
-            F.col("s_name").alias("DisplayName"),
-            _text("type", s % 4).alias("CompanyType"),
-            F.when(s % 5 == 0, 1).otherwise(0).alias("IsPartner"),
-            F.when(s % 3 == 0, 1).otherwise(0).alias("IsCustomer"),
-            F.when(s % 2 == 0, 1).otherwise(0).alias("IsUniversity"),
+        return self.raw("supplier").selectExpr(
+            "concat('S', s_suppkey) AS CompanyId",
+            "s_name AS DisplayName",
+            "concat('type', s_suppkey % 4) AS CompanyType",
+            "if(s_suppkey % 5 = 0, 1, 0) AS IsPartner",
+            "if(s_suppkey % 3 = 0, 1, 0) AS IsCustomer",
+            "if(s_suppkey % 2 = 0, 1, 0) AS IsUniversity",
         )
 
     @_once
     def users_month(self) -> DataFrame:
-        u = F.col("l_partkey")
-        day = F.to_date(F.col("l_shipdate") + F.make_ym_interval(F.lit(20)))
-        month = F.trunc(day, "MM")
-        idle = (u + F.month("MonthYear")) % 7 == 0
+        idle = "(u + month(MonthYear)) % 7 = 0"
         return (
             self.raw("lineitem")
-            .groupBy(
-                u,
-                month.alias("MonthYear"),
-                F.when(F.col("l_linenumber") % 3 == 0, "Developer").otherwise("Business").alias(
-                    "UserTypeMonth"
-                ),
+            .selectExpr(
+                "l_partkey AS u", "date(l_shipdate + INTERVAL '20' YEAR) AS day",
+                "if(l_linenumber % 3 = 0, 'Developer', 'Business') AS UserTypeMonth",
             )
+            .selectExpr("*", "trunc(day, 'MM') AS MonthYear")
+            .groupBy("u", "MonthYear", "UserTypeMonth")
             .agg(
-                F.min(day).alias("FirstActiveDateInMonth"),
-                F.max(day).alias("_last"),
-                F.countDistinct(day).cast("int").alias("ActiveDaysInMonth"),
+                F.min("day").alias("first"),
+                F.max("day").alias("last"),
+                F.countDistinct("day").alias("days"),
             )
-            .select(
-                F.coalesce(open_id(u), F.lit("")).alias("UserId"),
+            .selectExpr(
+                f"coalesce({open_id('u')}, '') AS UserId",
                 "MonthYear",
-                "FirstActiveDateInMonth",
-                F.when(idle, F.date_add("_last", 35)).otherwise(F.col("_last")).alias(
-                    "LastActiveDateInMonth"
-                ),
-                "ActiveDaysInMonth",
+                "first AS FirstActiveDateInMonth",
+                f"if({idle}, date_add(last, 35), last) AS LastActiveDateInMonth",
+                "int(days) AS ActiveDaysInMonth",
                 "UserTypeMonth",
-                F.when(idle, "Inactive").otherwise("Active").alias("ActiveMonth"),
-                company_id(u).alias("CompanyId"),
+                f"if({idle}, 'Inactive', 'Active') AS ActiveMonth",
+                f"{company_id('u')} AS CompanyId",
             )
         )
 
     @_once
     def projects(self) -> DataFrame:
-        n, u = F.col("o_orderkey"), F.col("o_custkey")
-        created = F.col("o_orderdate") + F.make_ym_interval(F.lit(20)) + _hours(n % 24)
-        return self.raw("orders").where(n % 3 != 0).select(
-            _text("P", n).alias("S_UUID"),
-            _text("project ", n).alias("ProjectName"),
-            created.alias("CreatedDate"),
-            F.when(n % 11 == 10, F.lit(None)).otherwise(company_id(u)).alias(
-                "CreatorCompanyPlatformName"
-            ),
-            (n % 8 == 0).alias("ProjectIsDeleted"),
-            F.col("o_orderstatus").alias("EnvironmentType"),
-            F.col("o_orderpriority").alias("AppType"),
-            (n % 6).cast("int").alias("ProjectMemberCount"),
-            created.alias("FirstSandboxLogin"),
-            F.when(n % 4 != 0, created + _hours(u % 100)).alias("LastSandboxLogin"),
-            _text("status", n % 3).alias("AppStatus"),
+        return (
+            self.raw("orders")
+            .selectExpr("*", _later("o_orderdate", "o_orderkey % 24") + " AS created")
+            .where("o_orderkey % 3 <> 0")
+            .selectExpr(
+                "concat('P', o_orderkey) AS S_UUID",
+                "concat('project ', o_orderkey) AS ProjectName",
+                "created AS CreatedDate",
+                f"if(o_orderkey % 11 = 10, NULL, {company_id('o_custkey')}) AS CreatorCompanyPlatformName",
+                "o_orderkey % 8 = 0 AS ProjectIsDeleted",
+                "o_orderstatus AS EnvironmentType",
+                "o_orderpriority AS AppType",
+                "int(o_orderkey % 6) AS ProjectMemberCount",
+                "created AS FirstSandboxLogin",
+                f"if(o_orderkey % 4 <> 0, created + {_hours('o_custkey % 100')}, NULL) AS LastSandboxLogin",
+                "concat('status', o_orderkey % 3) AS AppStatus",
+            )
         )
 
     @_once
     def user_lead(self) -> DataFrame:
-        u = F.col("c_custkey")
-        return self.raw("customer").where(u % 3 != 1).select(
-            F.when(u % 21 != 20, u.cast("string")).alias("OpenId"),
-            _text("L", u - u % 2).alias("LeadId"),
+        return self.raw("customer").where("c_custkey % 3 <> 1").selectExpr(
+            "if(c_custkey % 21 <> 20, string(c_custkey), NULL) AS OpenId",
+            "concat('L', c_custkey - c_custkey % 2) AS LeadId",
         )
 
     @_once
     def lead_current(self) -> DataFrame:
-        p = F.col("p_partkey")
-        return self.raw("part").select(
-            _text("L", p).alias("_Id"),
-            F.when(p % 9 == 8, "Acme Corp").when(p % 31 == 30, F.lit(None)).otherwise(
-                F.col("p_name")
-            ).alias("Company"),
-            F.when(F.col("p_size") % 3 != 0, "Marketing - Inbound").otherwise(
-                "Sales - Outbound"
-            ).alias("LeadSource"),
-            F.when(p % 14 == 0, "Bad data").when(p % 14 == 2, "Education")
-            .when(p % 14 == 4, "Partner").when(p % 14 == 6, F.lit(None)).otherwise("Open")
-            .alias("Status"),
-            F.when(p % 10 != 4, F.date_add(F.lit("2018-01-01").cast("date"), (p % 700).cast("int")))
-            .alias("MQL_Date_Enter__c"),
-            (p % 3 == 0).alias("MQL__c"),
-            (p % 4 == 0).alias("Converted_to_SO__c"),
-            F.when(p % 20 == 0, "Unknown region").when(p % 20 == 2, "channel east").otherwise(
-                F.col("p_brand")
-            ).alias("Sales_Unit__c"),
-            F.when(p % 12 == 8, "A. Stone").otherwise("B. Field").alias("Lead_Owner_String__c"),
+        return self.raw("part").selectExpr(
+            "concat('L', p_partkey) AS _Id",
+            "CASE WHEN p_partkey % 9 = 8 THEN 'Acme Corp' WHEN p_partkey % 31 <> 30 THEN p_name END AS Company",
+            "if(p_size % 3 <> 0, 'Marketing - Inbound', 'Sales - Outbound') AS LeadSource",
+            "CASE p_partkey % 14 WHEN 0 THEN 'Bad data' WHEN 2 THEN 'Education' WHEN 4 THEN 'Partner'"
+            " WHEN 6 THEN NULL ELSE 'Open' END AS Status",
+            "if(p_partkey % 10 <> 4, date_add(DATE'2018-01-01', int(p_partkey % 700)), NULL) AS MQL_Date_Enter__c",
+            "p_partkey % 3 = 0 AS MQL__c",
+            "p_partkey % 4 = 0 AS Converted_to_SO__c",
+            "CASE p_partkey % 20 WHEN 0 THEN 'Unknown region' WHEN 2 THEN 'channel east' ELSE p_brand END"
+            " AS Sales_Unit__c",
+            "if(p_partkey % 12 = 8, 'A. Stone', 'B. Field') AS Lead_Owner_String__c",
         )
 
     @_once
     def experiment_current(self) -> DataFrame:
-        r = F.col("r_regionkey")
-        starts = [_ts("2018-01-01"), _ts("2018-06-01"), _ts("2018-06-01"), F.lit(None), _ts("2020-05-01")]
-        ends = [F.lit(None), _ts("2019-11-20"), _ts("2019-10-01"), F.lit(None), F.lit(None)]
-        ids = ["exp0", "exp1", "exp2", "journey_4", "journey_3"]
-        at = lambda values: F.element_at(
-            F.array(*[v.cast("timestamp_ntz") for v in values]), r + 1
-        )
-        return self.raw("region").select(
-            _pick(ids, r).alias("UniqueId"), at(starts).alias("StartDate"), at(ends).alias("EndDate")
+        return self.raw("region").selectExpr(
+            _pick(["exp0", "exp1", "exp2", "journey_4", "journey_3"], "r_regionkey") + " AS UniqueId",
+            """CASE r_regionkey WHEN 0 THEN TIMESTAMP_NTZ'2018-01-01' WHEN 1 THEN TIMESTAMP_NTZ'2018-06-01'
+               WHEN 2 THEN TIMESTAMP_NTZ'2018-06-01' WHEN 4 THEN TIMESTAMP_NTZ'2020-05-01' END AS StartDate""",
+            """CASE r_regionkey WHEN 1 THEN TIMESTAMP_NTZ'2019-11-20'
+               WHEN 2 THEN TIMESTAMP_NTZ'2019-10-01' END AS EndDate""",
         )
 
     @_once
     def gamification(self) -> DataFrame:
-        u = F.col("c_custkey")
-        return self.raw("customer").where(u % 3 != 1).select(
-            u.cast("string").alias("OpenId"),
-            _text("cert", u % 4).alias("HighestCert"),
-            (u % 10).cast("int").alias("Level"),
-            F.floor("c_acctbal").cast("int").alias("Total_points"),
+        return self.raw("customer").where("c_custkey % 3 <> 1").selectExpr(
+            "string(c_custkey) AS OpenId",
+            "concat('cert', c_custkey % 4) AS HighestCert",
+            "int(c_custkey % 10) AS Level",
+            "int(floor(c_acctbal)) AS Total_points",
         )
-
-
-def _ts(day: str) -> Column:
-    return F.lit(f"{day} 00:00:00")

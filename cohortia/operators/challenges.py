@@ -89,7 +89,7 @@ def challenge_progress_output(
 
 def _category_counts(categories: Mapping[str, Iterable[str]], suffix: str) -> list[Column]:
     return [
-        rel.count_if(F.col("EventType").isin(*types)).alias(f"{name}{suffix}")
+        rel.count_if(rel.one_of("EventType", types)).alias(f"{name}{suffix}")
         for name, types in categories.items()
     ]
 

@@ -17,6 +17,13 @@ from pyspark.sql import functions as F
 
 from cohortia.functions import dates, text
 
+def one_of(column: str, values: Iterable[str]) -> Column:
+    """``column IN (values)``, written as one expression: event lists are long
+    and building them value by value is slow on the driver."""
+    quoted = ("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return F.expr(f"`{column}` IN ({', '.join(quoted)})")
+
+
 # --- scans -----------------------------------------------------------------
 
 
@@ -29,7 +36,7 @@ def event_scan(
 ) -> DataFrame:
     """Events of the given types, optionally later than ``after`` (exclusive)
     or inside the closed range ``between``.  Both filters reach the file scan."""
-    found = events.where(F.col("EventType").isin(*types))
+    found = events.where(one_of("EventType", types))
     if after is not None:
         found = found.where(F.col("Timestamp") > dates.as_instant(after))
     if between is not None:
@@ -78,7 +85,7 @@ def day_flags(
         .groupBy("OpenId", F.to_date("Timestamp").alias(day))
         .agg(
             *[
-                F.max(F.when(F.col("EventType").isin(*types), 1).otherwise(0)).alias(name)
+                F.max(flag(one_of("EventType", types))).alias(name)
                 for name, types in categories.items()
             ]
         )
