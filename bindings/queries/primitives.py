@@ -153,8 +153,8 @@ def left_join_two_keys(t):
 )
 def right_join(t):
     bought = t.raw("events").where("event_type = 'purchase'").select("user_id", "event_id")
-    users = t.raw("customer").select("c_custkey")
-    return bought.join(users, F.col("user_id") == F.col("c_custkey"), "right")
+    users = t.raw("customer").select("c_custkey", F.col("c_custkey").alias("key"))
+    return rel.left_join_many(users, bought.withColumn("key", F.col("user_id")), "key")
 
 
 @register(
@@ -224,8 +224,11 @@ result AS (
   FROM lineitem l LEFT JOIN last m ON l.l_partkey = m.l_partkey AND l.l_shipdate = m.l_shipdate LEFT JOIN orders ON id = o_orderkey)""",
 )
 def latest_before(t):
-    probes = ship_days(t).select("user", "at", "l_orderkey", "l_linenumber")
-    return rel.latest_before(probes, order_days(t).select("user", "at", "id"), ["user"], "id")
+    """Line items of a user on one day ask the same question once."""
+    shipped = ship_days(t).select("user", "at", "l_orderkey", "l_linenumber")
+    asked = shipped.select("user", "at").distinct()
+    found = rel.latest_before(asked, order_days(t).select("user", "at", "id"), ["user"], "id")
+    return shipped.join(found, ["user", "at"], "left")
 
 
 @register(
@@ -268,7 +271,7 @@ def semi_join(t):
       ON c_custkey = user_id WHERE user_id IS NULL)""",
 )
 def anti_join(t):
-    bought = t.raw("events").where("event_type = 'purchase'").select("user_id")
+    bought = t.raw("events").where("event_type = 'purchase'").select("user_id").distinct()
     return t.raw("customer").join(bought, F.col("c_custkey") == F.col("user_id"), "left_anti")
 
 
@@ -285,10 +288,13 @@ def star_join(t):
     places = t.raw("nation").join(
         t.raw("region").where("r_name <> 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey"), "inner"
     )
-    people = t.raw("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
-    return (
-        t.raw("orders").join(people, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    people = (
+        t.raw("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+        .withColumnRenamed("c_custkey", "o_custkey")
         .join(seen, "o_custkey", "left")
+    )
+    return (
+        t.raw("orders").join(people, "o_custkey", "inner")
         .select("o_orderkey", "c_name", "n_name", "r_name", F.coalesce("n", F.lit(0)).alias("events"))
     )
 

@@ -56,9 +56,10 @@ def starter_app_deploys(
     )
     born = F.col("DateTimeProjectCreated")
     first, last = F.col("FirstDeployDateTime"), F.col("LastDeployDateTime")
+    # Project data and deploys meet first, one row per project each; the join
+    # with the creation events comes last, where a busy project can be split.
     return (
-        created.join(known, "ProjectID", "inner")
-        .join(deploys, "ProjectID", "left")
+        created.join(known.join(deploys, "ProjectID", "left"), "ProjectID", "inner")
         .select(
             "ProjectID", "TemplateID", "OpenID", "DateTimeProjectCreated",
             "FirstDeployDateTime", "LastDeployDateTime",

@@ -91,6 +91,39 @@ def _add_active_days(rows: DataFrame, events: DataFrame, types: Iterable[str]) -
     )
 
 
+def _add_daily_facts(
+    rows: DataFrame,
+    events: DataFrame,
+    activation_types: Iterable[str],
+    retention_types: Iterable[str],
+    days: int,
+) -> DataFrame:
+    """Activation and retention from one pass over the log: per user and day the
+    first activation and whether the day was active at all."""
+    activated, retained = list(activation_types), list(retention_types)
+    daily = (
+        rel.event_scan(events, sorted({*activated, *retained}))
+        .where(F.col("OpenId").isNotNull())
+        .groupBy(F.col("OpenId").alias("DayUser"), F.to_date("Timestamp").alias("Day"))
+        .agg(
+            F.min(F.when(rel.one_of("EventType", activated), F.col("Timestamp"))).alias("First"),
+            F.max(rel.flag(rel.one_of("EventType", retained))).alias("Active"),
+        )
+    )
+    in_window = (F.col("Active") == 1) & F.col("Day").between(
+        F.col("LowerBoundary"), F.col("UpperBoundary")
+    )
+    elapsed = dates.day_diff(F.col("SignupDate"), F.min("First"))
+    return (
+        rows.join(daily, F.col("UserId") == F.col("DayUser"), "left")
+        .groupBy(*rows.columns)
+        .agg(
+            rel.flag(elapsed <= days).alias("ActivatedWithin30days"),
+            F.countDistinct(F.when(in_window, F.col("Day"))).alias("DaysActiveInSecondMonth"),
+        )
+    )
+
+
 def _invites_per_day(
     users: DataFrame, events: DataFrame, types: Iterable[str], internal: str
 ) -> DataFrame:
@@ -112,14 +145,14 @@ def _invites_per_day(
     )
     receivers = (
         users.where(F.col("email").isNotNull())
-        .groupBy("email", F.col("SignupDate").alias("SignupDateReceiver"))
+        .groupBy(F.col("email").alias("member"), F.col("SignupDate").alias("SignupDateReceiver"))
         .agg(F.count(F.lit(1)).alias("Receivers"))
     )
     non_member = (F.col("InviteDay") < F.col("SignupDateReceiver")) | (
         F.col("SignupDateReceiver").isNull() & F.col("InviteDay").isNotNull()
     )
     return (
-        invites.join(receivers, "email", "left")
+        rel.left_join_sparse_key(invites, receivers, "email", "member", ["Sender", "InviteDay"])
         .where(non_member)
         .groupBy("Sender", "InviteDay")
         .agg(F.sum(F.col("Invites") * F.coalesce("Receivers", F.lit(1))).alias("Invites"))
@@ -201,9 +234,14 @@ def key_growth_metrics(
     retention_types: Iterable[str],
     days: int = 30,
 ) -> DataFrame:
-    """Activation, retention and invites side by side, one row per user."""
-    rows = _add_activation(_base(users, company), events, activation_types, days)
-    rows = _add_active_days(rows.drop("FirstDateOfEvent"), events, retention_types)
+    """Activation, retention and invites side by side, one row per user.
+
+    Activation and retention come from one scan of the log, invites from a
+    second one that needs the receiver as well.
+    """
+    rows = _add_daily_facts(
+        _base(users, company), events, activation_types, retention_types, days
+    )
     per_day = _invites_per_day(users, events, invite_types, internal)
     return _add_invites(rows, per_day, days).select(
         *_USER_COLUMNS,
