@@ -35,6 +35,7 @@ class Settings:
     question: str
     as_of: dt.datetime
     excluded_owners: tuple[str, ...] = ()
+    log_partition: str = "day"
 
 
 class Jobs:
@@ -63,7 +64,8 @@ class Jobs:
         """The reduced event log and the key growth metrics."""
         events = self.base("platform_event")
         tables.write_event_log(
-            growth.initiative_events(events), self.s.target, "initiatives_events"
+            growth.initiative_events(events), self.s.target, "initiatives_events",
+            by=self.s.log_partition,
         )
         types = taxonomy.growth_types(self.s.product)
         users = growth.growth_users(self.base("user_current"), internal=self.s.internal)

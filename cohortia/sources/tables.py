@@ -7,9 +7,10 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,16 +47,25 @@ def append_day(
     )
 
 
-def write_event_log(events: DataFrame, root: str, name: str) -> None:
+def _period(by: str) -> Column:
+    if by not in ("day", "month"):
+        raise ValueError("by must be 'day' or 'month'")
+    return F.to_date("Timestamp") if by == "day" else F.trunc("Timestamp", "MM")
+
+
+def write_event_log(
+    events: DataFrame, root: str, name: str, *, by: str = "day", files: int = 64
+) -> None:
     """Write an event log for pruned reads.
 
-    Partitioned by day and sorted by event type within files, so that time
-    bounds skip directories and type lists skip row groups.  The repartition on
-    (day, hash bucket) keeps a heavy day from landing in a single file.
+    Partitioned by day (or month, for a small log) and sorted by event type
+    within files, so that time bounds skip directories and type lists skip row
+    groups.  A period is spread over up to ``files`` tasks, so a heavy one never
+    lands in a single file.
     """
     (
-        events.withColumn("EventDate", F.to_date("Timestamp"))
-        .withColumn("_spread", F.pmod(F.xxhash64("OpenId", "Timestamp"), F.lit(64)))
+        events.withColumn("EventDate", _period(by))
+        .withColumn("_spread", F.pmod(F.xxhash64("OpenId", "Timestamp"), F.lit(files)))
         .repartition("EventDate", "_spread")
         .drop("_spread")
         .sortWithinPartitions("EventDate", "EventType", "OpenId")
@@ -66,29 +76,32 @@ def write_event_log(events: DataFrame, root: str, name: str) -> None:
 
 
 def read_event_log(
-    spark: SparkSession, root: str, name: str, *, since: dt.date | None = None
+    spark: SparkSession, root: str, name: str, *, since: dt.date | None = None, by: str = "day"
 ) -> DataFrame:
-    """An event log, from ``since`` on; earlier days are not listed or read."""
+    """An event log, from ``since`` on; earlier periods are not read."""
     log = read_table(spark, root, name)
     if since is not None:
-        log = log.where(F.col("EventDate") >= F.lit(since))
+        period = since if by == "day" else since.replace(day=1)
+        log = log.where(
+            (F.col("EventDate") >= F.lit(period)) & (F.to_date("Timestamp") >= F.lit(since))
+        )
     return log.drop("EventDate")
 
 
 def staged(rows: DataFrame) -> DataFrame:
     """Compute ``rows`` once and cut its lineage, for results read many times.
 
-    The copy goes to the shared folder of ``spark.checkpoint.dir`` and outlives
-    lost executors.  Only a local session without that setting gets a
-    temporary folder.
+    The rows are written as a table in the shared folder that
+    ``spark.checkpoint.dir`` names, so they outlive lost executors and later
+    reads fetch only the columns they need.  Only a local session without that
+    setting gets a folder of its own.  The folder is emptied by its owner.
     """
     spark = rows.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="cohortia-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return rows.checkpoint()
+    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.parquet(path)

@@ -34,6 +34,7 @@ def test_event_log_is_pruned_by_day_and_filtered_in_the_scan(spark, make, tmp_pa
     events = make.events([("u", "a", "2018-01-01 10:00"), ("u", "b", "2018-01-02"), ("v", "a", "2018-01-03")])
     tables.write_event_log(events, str(tmp_path), "log")
     log = tables.read_event_log(spark, str(tmp_path), "log", since=dt.date(2018, 1, 2))
+    assert rows(log, "OpenId") == [("u",), ("v",)]
     picked = log.where("EventType IN ('a', 'c')")
     assert rows(picked, "OpenId") == [("v",)]
     plan = picked._jdf.queryExecution().executedPlan().toString()
@@ -41,10 +42,18 @@ def test_event_log_is_pruned_by_day_and_filtered_in_the_scan(spark, make, tmp_pa
     assert "In(EventType" in plan.split("PushedFilters")[1]
 
 
+def test_month_partitions_are_pruned_too(spark, make, tmp_path):
+    events = make.events([("u", "a", "2018-01-31"), ("v", "a", "2018-02-10"), ("w", "a", "2018-02-20")])
+    tables.write_event_log(events, str(tmp_path), "log", by="month", files=2)
+    log = tables.read_event_log(spark, str(tmp_path), "log", since=dt.date(2018, 2, 15), by="month")
+    assert rows(log, "OpenId") == [("w",)]
+
+
 def test_staged_rows_survive_without_lineage(spark, make):
     staged = tables.staged(make.table("a int", [(1,), (2,)]).selectExpr("a + 1 AS a"))
     assert rows(staged) == [(2,), (3,)]
-    assert "Scan ExistingRDD" in staged._jdf.queryExecution().executedPlan().toString()
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "LocalTableScan" not in plan
 
 
 def test_jobs_build_the_same_reports_as_the_queries(spark, tmp_path):
@@ -55,7 +64,7 @@ def test_jobs_build_the_same_reports_as_the_queries(spark, tmp_path):
         "experiment_current", "gamification",
     ):
         tables.replace_table(getattr(t, name)(), source, name)
-    jobs = Jobs(spark, Settings(source, target, rules.INTERNAL, rules.PRODUCT, rules.QUESTION, rules.AS_OF, ("Stone",)))
+    jobs = Jobs(spark, Settings(source, target, rules.INTERNAL, rules.PRODUCT, rules.QUESTION, rules.AS_OF, ("Stone",), "month"))
     jobs.initiatives()
     jobs.signups()
     jobs.significance()
