@@ -34,17 +34,21 @@ def monthly_existing_users(
     inactive ones - found by a running maximum instead of a self-join.
     """
     counted = (F.col("ActiveMonth") == "Active") & text.lacks(F.col("CompanyId"), internal)
+    signup = users.select(
+        F.col("OpenId").alias("UserId"), F.col("OldSignupDate").alias("SignupDate")
+    )
+    # The join comes first: its partitioning on the user serves the grouping, the
+    # window and the join with days, and a monthly fact hardly shrinks map-side.
     months = (
         users_month.where(text.not_blank(F.col("UserId")))
+        .join(signup, "UserId", "left")
         .groupBy(
-            "UserId", "MonthYear", "FirstActiveDateInMonth", "LastActiveDateInMonth",
-            "ActiveDaysInMonth", F.coalesce(counted, F.lit(False)).alias("_counted"),
+            "UserId", "SignupDate", "MonthYear", "FirstActiveDateInMonth",
+            "LastActiveDateInMonth", "ActiveDaysInMonth",
+            F.coalesce(counted, F.lit(False)).alias("_counted"),
         )
         .agg(F.max(rel.flag(F.col("UserTypeMonth") == "Developer")).alias("IsDeveloper"))
     )
-    signup = users.select(
-        F.col("OpenId").alias("UserId"), F.col("OldSignupDate").alias("SignupDate")
-    )
     since_signup = F.when(
         F.col("LastActiveDateInMonth") >= F.col("SignupDate"), F.col("LastActiveDateInMonth")
     )
@@ -54,8 +58,7 @@ def monthly_existing_users(
         .rangeBetween(Window.unboundedPreceding, -1)
     )
     spans = (
-        months.join(signup, "UserId", "left")
-        .withColumn("LastActiveDateBeforeMonth", F.max(since_signup).over(earlier))
+        months.withColumn("LastActiveDateBeforeMonth", F.max(since_signup).over(earlier))
         .where("_counted")
         .select(
             "UserId", "MonthYear",
@@ -184,21 +187,20 @@ def resurrection(
     known = users_month.where(
         text.not_blank(F.col("UserId")) & F.col("MonthYear").isNotNull()
     )
-    per_month = known.groupBy("UserId", "MonthYear").agg(
+    signup = users.where(F.col("OldSignupDate").isNotNull()).select(
+        F.col("OpenId").alias("UserId"), F.col("OldSignupDate").alias("SignupDate")
+    )
+    per_month = known.join(signup, "UserId").groupBy("UserId", "SignupDate", "MonthYear").agg(
         F.max("LastActiveDateInMonth").alias("Last"),
         F.max(rel.flag(F.col("ActiveMonth") == "Active")).alias("Active"),
         F.max(rel.flag(text.lacks(F.col("CompanyId"), internal))).alias("External"),
     )
-    signup = users.where(F.col("OldSignupDate").isNotNull()).select(
-        F.col("OpenId").alias("UserId"), F.col("OldSignupDate").alias("SignupDate")
-    ).distinct()
     user = Window.partitionBy("UserId", "SignupDate")
     ordered = user.orderBy("MonthYear")
     since_signup = F.when(F.col("Last") >= F.col("SignupDate"), F.col("Last"))
     last_finished = F.add_months(dates.month_start(dates.as_day(as_of)), -1)
     gaps = (
-        per_month.join(signup, "UserId")
-        .select(
+        per_month.select(
             "UserId", "SignupDate", "MonthYear",
             F.max(since_signup)
             .over(ordered.rowsBetween(Window.unboundedPreceding, 0))
