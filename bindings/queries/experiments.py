@@ -56,6 +56,15 @@ def signup_long(t):
     )
 
 
+def signup_significance(t):
+    """Repeated completions and mails enter as weights, not as rows."""
+    long = experiments.unpivot_metrics(
+        test_rows(t, copies="Copies"), date_column="FirstSignupPageVisit",
+        metrics=experiments.SIGNUP_METRICS, weight="Copies",
+    )
+    return experiments.ab_significance(long, as_of=rules.AS_OF, weight="Copies")
+
+
 def tour_long(t):
     return experiments.unpivot_metrics(
         significance_rows(t), date_column="FirstStartDate", metrics=experiments.TOUR_METRICS
@@ -77,7 +86,7 @@ def unpivot_tour(t):
 @register("m31_significance_signup", _RESULT, VIEWS,
           SIGNUP + "," + MOMENTS + ", result AS (SELECT * FROM tested)")
 def significance_signup(t):
-    return experiments.ab_significance(signup_long(t), as_of=rules.AS_OF)
+    return signup_significance(t)
 
 
 @register("m31_significance_tour", _RESULT, VIEWS,
@@ -89,9 +98,7 @@ def significance_tour(t):
 @register("m32_active_experiments_signup", _RESULT, VIEWS,
           SIGNUP + "," + MOMENTS + ", result AS (SELECT * FROM gated)")
 def active_experiments_signup(t):
-    return experiments.active_experiments(
-        experiments.ab_significance(signup_long(t), as_of=rules.AS_OF), t.experiment_current()
-    )
+    return experiments.active_experiments(signup_significance(t), t.experiment_current())
 
 
 @register("m32_active_experiments_tour", _RESULT, VIEWS,

@@ -9,6 +9,7 @@ from bindings.queries.signup import elements, nested, value
 from bindings.registry import register
 from cohortia.functions import dates, payload, text
 from cohortia.operators import relational as rel
+from cohortia.sources import tables
 
 
 def order_days(t):
@@ -107,6 +108,20 @@ def internal_exclusion(t):
     return t.raw("customer").where(text.lacks(F.col("c_mktsegment"), "BUILD"))
 
 
+@register(
+    "p08_staged_table", "event_type days:int users:int", "",
+    """result AS (SELECT event_type, count(DISTINCT CAST(ts AS DATE)) AS days, count(DISTINCT user_id) AS users FROM events GROUP BY 1)""",
+)
+def staged_table(t):
+    """Written once under the checkpoint folder, read back with fewer columns."""
+    days = tables.staged(
+        t.raw("events").select("event_type", "user_id", F.to_date("ts").alias("day")).distinct()
+    )
+    return days.groupBy("event_type").agg(
+        F.countDistinct("day").alias("days"), F.countDistinct("user_id").alias("users")
+    )
+
+
 # --- joins ------------------------------------------------------------------------
 
 

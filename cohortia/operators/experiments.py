@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions import dates, text
@@ -16,31 +16,48 @@ TOUR_METRICS = ("GuidanceFinished", "LectureCompleted", "WmActivated")
 
 
 def unpivot_metrics(
-    rows: DataFrame, *, date_column: str, metrics: Sequence[str]
+    rows: DataFrame, *, date_column: str, metrics: Sequence[str], weight: str | None = None
 ) -> DataFrame:
-    """One row per experiment member and metric that has a value."""
-    ids = [date_column, "ExperimentGroup", "Experiment"]
+    """One row per experiment member and metric that has a value.
+
+    ``weight`` is a column to carry along that counts repetitions of a member.
+    """
+    ids = [date_column, "ExperimentGroup", "Experiment", *([weight] if weight else [])]
     cast = rows.select(*ids, *[F.col(m).cast("int").alias(m) for m in metrics])
     return rel.unpivot_values(cast, ids, metrics)
 
 
-def ab_significance(long: DataFrame, *, as_of: dt.date | dt.datetime) -> DataFrame:
+def _moments(value: Column, weight: str | None) -> tuple[Column, Column, Column]:
+    """Size, mean and sample variance, of plain or of repeated values."""
+    if weight is None:
+        return F.count("Metric"), F.avg(value), F.var_samp(value)
+    times = F.col(weight)
+    size, total = F.sum(times), F.sum(times * value)
+    squares = F.sum(times * value * value)
+    variance = F.when(size > 1, (squares - total * total / size) / (size - 1))
+    return size, total / size, variance
+
+
+def ab_significance(
+    long: DataFrame, *, as_of: dt.date | dt.datetime, weight: str | None = None
+) -> DataFrame:
     """Size and mean of groups A and B and the z-score, per experiment and metric.
 
     ``Z = (largest mean - smallest mean) / sqrt(sum of variance / size)`` over
     all non-blank groups, not only A and B; NULL when the root is 0 or no group
     has a variance.  Rows without an experiment keep their metric with NULL
-    sizes and means.
+    sizes and means.  With ``weight`` a row stands for that many equal rows.
     """
     value = F.col("Value").cast("double")
+    size, mean, variance = _moments(value, weight)
     known = F.col("Experiment").isNotNull()
     groups = (
         long.where(text.not_blank(F.col("ExperimentGroup")))
         .groupBy("Experiment", "Metric", "ExperimentGroup")
         .agg(
-            F.when(known, F.count("Metric")).alias("N"),
-            F.when(known, F.avg(value)).alias("Mu"),
-            F.when(known, F.var_samp(value)).alias("Variance"),
+            F.when(known, size).alias("N"),
+            F.when(known, mean).alias("Mu"),
+            F.when(known, variance).alias("Variance"),
         )
     )
     group = F.col("ExperimentGroup")

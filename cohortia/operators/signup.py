@@ -97,6 +97,10 @@ def _emails(events: DataFrame) -> DataFrame:
     )
 
 
+def _counted(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(name))
+
+
 def _with_progress(signups: DataFrame, completed: DataFrame, emails: DataFrame) -> DataFrame:
     """Attach completion and confirmation mail to signups, by hash.
 
@@ -127,12 +131,17 @@ def signup_funnel_by_visit(
     profile: Sequence[str] = (*_FUNNEL_PROFILE, *_FUNNEL_EXTRA),
     dedupe: bool = True,
     cap_visits: bool = True,
+    copies: str | None = None,
 ) -> DataFrame:
     """Signup progress per cookie, experiment group and experiment.
 
     ``SignupCompleted`` is NULL until the confirmation mail was sent.  With
     ``dedupe=False`` repeated completions and mails fan out, as in the older
     form; ``cap_visits=False`` keeps the number of visits, as in the test form.
+
+    ``copies`` names a column that counts the repetitions of a row instead of
+    repeating it.  Completions times mails of one signup can be very many, so
+    statistics over the older forms should use it as their weight.
     """
     visits = _visits(events).groupBy(
         F.col("CookieId"),
@@ -147,7 +156,10 @@ def signup_funnel_by_visit(
             "CountSignupPageVisits", rel.flag(F.col("CountSignupPageVisits") > 0)
         )
     completed, emails = _completed(events), _emails(events)
-    if dedupe:
+    if copies is not None:
+        completed = _counted(completed, "_completions")
+        emails = _counted(emails, "_mails")
+    elif dedupe:
         completed, emails = completed.distinct(), emails.distinct()
     signups = unique_signups(events, internal=internal).withColumnRenamed(
         "CookieId", "SignupCookie"
@@ -155,6 +167,11 @@ def signup_funnel_by_visit(
     progress = _with_progress(signups, completed, emails)
     started = F.coalesce("SignupStarted", F.lit(0))
     mailed = F.coalesce("EmailSuccessfulSent", F.lit(0))
+    repeated = []
+    if copies is not None:
+        one = F.lit(1)
+        count = one if dedupe else F.coalesce("_completions", one) * F.coalesce("_mails", one)
+        repeated = [count.cast("bigint").alias(copies)]
     return visits.join(
         progress, F.col("CookieId") == F.col("SignupCookie"), "left"
     ).select(
@@ -169,6 +186,7 @@ def signup_funnel_by_visit(
         started.alias("SignupStarted"),
         mailed.alias("EmailSuccessfulSent"),
         "SignupCompleted",
+        *repeated,
     )
 
 

@@ -108,7 +108,8 @@ class Jobs:
         log, kgm = self.initiative_log(), self.report("initiatives_kgm")
         visits = signup.signup_with_growth(
             signup.signup_funnel_by_visit(
-                log, internal=self.s.internal, profile=[], dedupe=False, cap_visits=False
+                log, internal=self.s.internal, profile=[], dedupe=False, cap_visits=False,
+                copies="Copies",
             ),
             kgm, as_of=self.s.as_of, visit_before_signup=False, with_retained=False,
         )
@@ -117,13 +118,15 @@ class Jobs:
             conversion, kgm, as_of=self.s.as_of, not_experiment="1",
             continued=tours.tour_continue(log),
         )
-        for name, rows, date, metrics in (
-            ("signup_significance", visits, "FirstSignupPageVisit", experiments.SIGNUP_METRICS),
-            ("tour_significance", guided, "FirstStartDate", experiments.TOUR_METRICS),
+        for name, rows, date, metrics, weight in (
+            ("signup_significance", visits, "FirstSignupPageVisit", experiments.SIGNUP_METRICS, "Copies"),
+            ("tour_significance", guided, "FirstStartDate", experiments.TOUR_METRICS, None),
         ):
-            long = experiments.unpivot_metrics(rows, date_column=date, metrics=metrics)
+            long = experiments.unpivot_metrics(
+                rows, date_column=date, metrics=metrics, weight=weight
+            )
             results = experiments.active_experiments(
-                experiments.ab_significance(long, as_of=self.s.as_of),
+                experiments.ab_significance(long, as_of=self.s.as_of, weight=weight),
                 self.base("experiment_current"),
             )
             tables.append_day(results, self.s.target, name)

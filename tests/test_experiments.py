@@ -51,3 +51,15 @@ def test_gate(make):
     long = make.table(LONG, [(g, n, "m", v) for n in names for g in "AB" for v in (0, 1)])
     got = experiments.active_experiments(experiments.ab_significance(long, as_of=AS_OF), tracker)
     assert sorted(by_key(got, "Experiment", "Metric")) == ["closed29", "odd", "open", "unstarted", "untracked"]
+
+
+def test_weights_stand_for_repeated_rows(make):
+    draw = random.Random(8)
+    rows_ = [(g, e, "m", draw.randrange(3), draw.randrange(1, 6)) for g in "ABC" for e in ("e", None, "f") for _ in range(7)]
+    rows_.append(("A", "single", "m", 1, 1))
+    weighted = make.table(LONG + ", Copies bigint", rows_)
+    repeated = make.table(LONG, [r[:4] for r in rows_ for _ in range(r[4])])
+    rounded = lambda f: rows(f.selectExpr("Experiment", "N1", "N2", "round(Mu1, 9)", "round(Zscore, 9)"))
+    assert rounded(experiments.ab_significance(weighted, as_of=AS_OF, weight="Copies")) == rounded(
+        experiments.ab_significance(repeated, as_of=AS_OF)
+    )

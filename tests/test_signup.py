@@ -66,6 +66,13 @@ def test_early_form_fans_out_and_test_form_counts_visits(make):
     assert rows(got, "CountSignupPageVisits") == [(3,)]
 
 
+def test_copies_count_what_the_early_form_repeats(make):
+    counted = funnel(make, dedupe=False, copies="n")
+    repeated = funnel(make, dedupe=False).groupBy("CookieId", "ExperimentGroup").count()
+    assert rows(counted, "CookieId", "ExperimentGroup", "n") == rows(repeated)
+    assert set(rows(funnel(make, copies="n"), "n")) == {(1,)}
+
+
 def test_unique_signups_counts(make):
     got = signup.unique_signups(make.events(FUNNEL), internal="acme")
     assert by_key(got, "CookieId", "NumberOfSignups") == {"started": 0, "mailed": 0, "done": 2}
