@@ -224,7 +224,7 @@ def prefix_totals(
     )
     same_slot = F.lit(True)
     for c in slot:
-        same_slot = same_slot & F.col(c).eqNullSafe(F.col(f"_s{c}"))
+        same_slot = same_slot & (F.col(c) == F.col(f"_s{c}"))
 
     def total(name: str, how: str) -> Column:
         here, past = F.col(name), F.col(f"_e{name}")
@@ -232,7 +232,9 @@ def prefix_totals(
             return F.greatest(here, past)
         return F.coalesce(here, F.lit(0)) + F.coalesce(past, F.lit(0))
 
-    return inside.join(earlier, same_slot, "inner").select(
+    # Plain equality keeps the partitioning of the window; probes without a key
+    # find no slot and stay with what their own (event-free) slot gave.
+    return inside.join(earlier, same_slot, "left").select(
         *keys, "at", (F.col("_order") == 2).alias("closed"),
         *[F.col(f"_row.{c}").alias(c) for c in carried_along],
         *[total(n, h).alias(n) for n, h in measures.items()],
