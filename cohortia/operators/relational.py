@@ -151,7 +151,7 @@ def left_join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     unmatched left rows are computed apart.
     """
     matched = left.join(right, key, "inner")
-    missing = left.join(right.select(key), key, "left_anti")
+    missing = left.join(right.select(key).distinct(), key, "left_anti")
     return matched.unionByName(missing, allowMissingColumns=True)
 
 
