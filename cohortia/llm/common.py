@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -10,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SLICE = 512  # rows of an Arrow batch that are Python objects at one time
 
 
@@ -36,6 +38,17 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it.
+
+    On a cluster it is installed on every node; there the path is one more that is empty.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        paths = [path for path in paths if path] + [ROOT]
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(paths)
+
+
 def remainder(key: Column, parts: int) -> Column:
     """crc32 of the key as text, modulo ``parts``; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % parts
@@ -55,7 +68,8 @@ def scan(
 
     ``each`` gets an iterator of slices and yields slices of the output columns.
     """
-    out_schema = _arrow_schema(df.sparkSession, schema)
+    importable(df.sparkSession)
+    out_schema = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def slices() -> Iterator[dict[str, list]]:
@@ -69,7 +83,7 @@ def scan(
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def _arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortia.llm.common import scan
+from cohortia.llm.common import importable, scan
 
 PROFILE = 300  # n-grams of a profile
 LEARN_ROWS = 20_000  # about as many labelled texts are learnt from
@@ -155,9 +155,9 @@ def known(docs: DataFrame, profiles: Profiles) -> DataFrame:
     Rejected are texts without a letter (null and empty ones too); if nothing was
     learnt, nothing is told apart and all rows with a letter stay.
     """
-    from pyspark.sql.functions import pandas_udf
+    importable(docs.sparkSession)
 
-    @pandas_udf("boolean")
+    @F.pandas_udf("boolean")
     def accepted(texts):  # noqa: ANN001, ANN202
         if not profiles.languages:
             return texts.map(lambda text: bool(len(gram_counts(text)[0])))

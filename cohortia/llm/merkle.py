@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortia.llm.common import parts_for, scan
+from cohortia.llm.common import importable, parts_for, scan
 
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
 WORDS = re.compile(r"\S*\s+|\S+")
@@ -148,6 +148,8 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     ranges = len(cuts) + 1 if most is not None else 0
     last = ranges if null_first is not None else ranges - 1
 
+    importable(docs.sparkSession)
+
     @F.pandas_udf("array<struct<part:int,ahead:boolean>>")
     def dealt(ids: pd.Series, orders: pd.Series) -> pd.Series:
         out = []

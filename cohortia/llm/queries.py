@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.llm import language, merkle, pieces, quality
+from cohortia.llm import (
+    jaccard, language, lattice, lm, merkle, mixing, pieces, quality, repeats, secrets,
+)
 from cohortia.llm.common import held_out
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -36,6 +38,30 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    training = docs.filter(~held_out(F.col("doc_id"), 5))
+    words = secrets.dictionary(training)
+    return secrets.findings(docs, secrets.learn(training, words), words)
+
+
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_documents(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).cast("long").alias("taken"),
+    )
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edit_report(_table(spark, sf_dir, "documents"))
 
@@ -50,12 +76,24 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(repeats.without_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_decode(_table(spark, sf_dir, "documents"), piece_model()))
 
 
+def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lm.scores(docs.select("doc_id", held_out(F.col("doc_id"), 10).alias("held"), "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
-    for query in (op1_language_id, op6_fingerprints, op7_quality, op9_pieces)
+    for query in (
+        op1_language_id, op2_lattice, op3_secrets, op4_jaccard, op5_mixing, op6_fingerprints,
+        op7_quality, op8_repeats, op9_pieces, op10_pitman_yor,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.llm import language, pieces
+from cohortia.llm import jaccard, language, mixing, pieces, secrets
 from cohortia.llm.common import held_out, stage
 from cohortia.llm.queries import piece_model
 
@@ -21,6 +21,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.known(docs, language.learn(docs.filter(~held_out(F.col("doc_id"), 5))))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies, by shingles of five words at 0.8."""
+    return jaccard.one_of_each(docs, words=5, percent=80)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in the texts by a mask; all documents stay."""
+    training = docs.filter(~held_out(F.col("doc_id"), 5))
+    words = secrets.dictionary(training)
+    return secrets.masked(docs, secrets.learn(training, words), words)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take each document as often as its source's target wants."""
+    return mixing.mixed(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every text, as digests."""
     return pieces.digests(pieces.encode_decode(docs, piece_model()))
@@ -28,6 +45,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("mask_secrets", mask_secrets),
+    ("mix", mix),
     ("encode", encode),
 ]
 
