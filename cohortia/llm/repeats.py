@@ -241,7 +241,7 @@ def _covered_by_index(docs: DataFrame, wanted: DataFrame, length: int) -> DataFr
         "key", "i", "j", "digest")
 
     def index(slices: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        group, held, last = [], 0, None
+        group, held, last, known = [], 0, None, set()
 
         def close() -> Iterator[dict[str, list]]:
             out = []
@@ -256,13 +256,15 @@ def _covered_by_index(docs: DataFrame, wanted: DataFrame, length: int) -> DataFr
 
         for part in slices:
             for id_, th, key, digest, n, first, i, j, span in zip(*part.values()):
-                if last == (key, i, j, digest):  # rows that repeat each other
-                    continue
-                if held >= BLOCK and last and last[:3] != (key, i, j):
+                if held >= BLOCK and last != (key, i, j):
                     yield from close()
-                    group, held = [], 0
-                group.append((id_, th, n, first, span))
-                held, last = held + len(span), (key, i, j, digest)
+                    group, held, known = [], 0, set()
+                last = key, i, j
+                # a span is there once, though its rows repeat or its pairs share a block
+                if (key, digest) not in known:
+                    known.add((key, digest))
+                    group.append((id_, th, n, first, span))
+                    held += len(span)
         if group:
             yield from close()
 
