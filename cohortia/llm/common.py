@@ -7,7 +7,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,16 +17,21 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 SLICE = 512  # rows of an Arrow batch that are Python objects at one time
 
 
+_own_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
     Only where the session names none, as in tests on one machine, a folder is made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    app = spark.sparkContext.applicationId
+    if app not in _own_roots:
+        _own_roots[app] = tempfile.mkdtemp(prefix="llm-shared-")
+    return _own_roots[app]
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -93,3 +100,35 @@ def _arrow_schema(schema: str) -> pa.Schema:
 def parts_for(spark: SparkSession, least: int = 1) -> int:
     """Partitions of an explicit shuffle: what the session is set to."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0, compressed."""
+    values = np.asarray(values, np.int64)
+    most = int(values.max()) if len(values) else 0
+    size = next(s for s in (1, 2, 4, 8) if most < 1 << (8 * s - (s == 8)))
+    planes = values.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T
+    return bytes([size]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(data: bytes) -> np.ndarray:
+    size = data[0]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, -1).T).view(f"<u{size}").ravel().astype(np.int64)
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    return pack(np.diff(values, prepend=0))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data))
+
+
+def zipped(text: str) -> bytes:
+    """A text, compressed for a shuffle."""
+    return zstandard.ZstdCompressor(level=1).compress(text.encode("utf-8", "replace"))
+
+
+def unzipped(data: bytes) -> str:
+    return zstandard.ZstdDecompressor().decompress(data).decode("utf-8")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +49,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
     others = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return others.union(least.select("a", "m")).distinct()
+
+
+class Forest:
+    """Components of the links met so far, in one task."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        above = self.above
+        while (up := above.setdefault(node, node)) != node:
+            above[node] = node = above[up]
+        return node
+
+    def link(self, pairs: Iterable[tuple[int, int]]) -> None:
+        for a, b in pairs:
+            a, b = self.root(a), self.root(b)
+            if a != b:
+                self.above[max(a, b)] = min(a, b)
+
+    def stars(self) -> dict[str, list]:
+        """A link (a, b) from every node that is not a root to its root, the smallest node."""
+        pairs = [(node, root) for node in list(self.above) if (root := self.root(node)) != node]
+        return {"a": [a for a, _ in pairs], "b": [b for _, b in pairs]}

@@ -25,12 +25,13 @@ from itertools import count
 
 import numpy as np
 import xxhash
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortia.llm.common import parts_for, scan, stage
+from cohortia.llm.common import (
+    pack, pack_sorted, parts_for, scan, stage, unpack, unpack_sorted,
+)
 
 VOCABULARY = 65_000  # most frequent words, beside the rare ones and the end
 BLOCK = 3_000_000  # tokens that share their questions
@@ -46,29 +47,6 @@ SHIFT = 20  # bits of a word in the key of a dish
 END = xxhash.xxh3_64_intdigest(b"\n")  # no word has white space
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Whole numbers from 0, compressed."""
-    values = np.asarray(values, np.int64)
-    most = int(values.max()) if len(values) else 0
-    size = next(s for s in (1, 2, 4, 8) if most < 1 << (8 * s - (s == 8)))
-    planes = values.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T
-    return bytes([size]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(data: bytes) -> np.ndarray:
-    size = data[0]
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8)
-    return np.ascontiguousarray(planes.reshape(size, -1).T).view(f"<u{size}").ravel().astype(np.int64)
-
-
-def pack_sorted(values: np.ndarray) -> bytes:
-    return pack(np.diff(values, prepend=0))
-
-
-def unpack_sorted(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data))
-
-
 def tokens(text: str | None) -> list[bytes]:
     """The words of a text, A-Z in lower case; the end is not among them."""
     return (text or "").encode("utf-8", "replace").lower().split()
