@@ -63,7 +63,7 @@ KGM_SCHEMA = f"{USER} ActivatedWithin30days:int Retained:int {INVITE}"
 
 
 def growth_parts(t, types=GROWTH):
-    events = growth.growth_events(t.platform_event(types), types=types)
+    events = growth.growth_events(t.platform_event(), types=types, after=rules.GROWTH_SINCE)
     return growth.growth_users(t.user_current(), internal=rules.INTERNAL), events
 
 
@@ -82,7 +82,7 @@ def kgm(t):
       AND "Timestamp" > TIMESTAMP '2016-12-01')""",
 )
 def initiative_events(t):
-    return growth.initiative_events(t.platform_event(taxonomy.INITIATIVE_EVENTS))
+    return growth.initiative_events(t.platform_event(), after=rules.LOG_SINCE)
 
 
 @register(
@@ -185,15 +185,14 @@ result AS (SELECT *, CASE WHEN ActiveDays30To60DaysAfterSignup > 0 THEN 1 ELSE 0
 """,
 )
 def onboard(t):
-    categories = [x for types in taxonomy.ONBOARDING.values() for x in types]
     users = onboarding.onboarding_users(
         t.user_current(),
-        t.platform_event([taxonomy.SIGNUP_COMPLETED, *taxonomy.ACTIVATION]),
+        t.platform_event(),
         t.company_current(),
         internal=rules.INTERNAL,
     )
     return onboarding.onboarding(
-        users, t.platform_event(ACTIVITY, categories), activity=ACTIVITY
+        users, t.platform_event(), activity=ACTIVITY
     )
 
 
@@ -240,7 +239,7 @@ _MONTH = "UserId MonthYear:date LastActiveDateInMonth:date ActiveDaysInMonth:int
 
 def monthly(t):
     return existing.monthly_existing_users(
-        t.users_month(), t.user_current(), t.platform_event(ACTIVITY),
+        t.users_month(), t.user_current(), t.platform_event(),
         types=ACTIVITY, internal=rules.INTERNAL,
     )
 
@@ -353,7 +352,7 @@ result AS (
 )
 def invite_conversion(t):
     return growth.invite_conversion(
-        t.user_current(), t.platform_event(taxonomy.INVITES),
+        t.user_current(), t.platform_event(),
         internal=rules.INTERNAL, as_of=rules.AS_OF,
     )
 

@@ -9,7 +9,6 @@ from bindings.queries.signup import elements, nested, value
 from bindings.registry import register
 from cohortia.functions import dates, payload, text
 from cohortia.operators import relational as rel
-from cohortia.sources import tables
 
 
 def order_days(t):
@@ -113,10 +112,9 @@ def internal_exclusion(t):
     """result AS (SELECT event_type, count(DISTINCT CAST(ts AS DATE)) AS days, count(DISTINCT user_id) AS users FROM events GROUP BY 1)""",
 )
 def staged_table(t):
-    """Written once under the checkpoint folder, read back with fewer columns."""
-    days = tables.staged(
-        t.raw("events").select("event_type", "user_id", F.to_date("ts").alias("day")).distinct()
-    )
+    """The distinct user days that a job would stage, and what is read from them; the
+    write itself is tested with a folder of its own."""
+    days = t.raw("events").select("event_type", "user_id", F.to_date("ts").alias("day")).distinct()
     return days.groupBy("event_type").agg(
         F.countDistinct("day").alias("days"), F.countDistinct("user_id").alias("users")
     )
@@ -176,25 +174,25 @@ def right_join(t):
     "p30_users_by_month", "user:int month:date orders:int", "",
     """
 first AS (SELECT o_custkey AS user, CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS start FROM orders GROUP BY 1),
-months AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders WHERE o_orderdate < DATE '2001-07-01'),
+months AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
 result AS (
   SELECT f.user, m.month, count(o_orderkey) AS orders FROM first f, months m
   LEFT JOIN orders ON o_custkey = f.user AND date_trunc('month', o_orderdate) = m.month
   WHERE f.start <= m.month GROUP BY f.user, m.month)""",
 )
 def users_by_month(t):
-    """Every month since the first order, unfolded per user instead of crossing
-    users with a calendar."""
+    """Every month of the table since the first order, unfolded per user instead of
+    crossing users with a calendar."""
     monthly = order_days(t).groupBy("user", dates.month_start(F.col("at")).alias("month")).agg(
         F.count(F.lit(1)).alias("orders")
     )
+    last = monthly.agg(F.max("month")).scalar()
     spine = monthly.groupBy("user").agg(F.min("month").alias("start")).select(
         "user",
-        F.explode(F.expr("sequence(start, greatest(start, DATE'2001-06-01'), interval 1 month)")).alias("month"),
+        F.explode(F.sequence("start", last, F.expr("interval 1 month"))).alias("month"),
     )
-    known = monthly.where("month < DATE'2001-07-01'").select("month").distinct()
     return (
-        spine.join(known, "month", "left_semi")
+        rel.semi_join_spread(spine, monthly, "month", "user")
         .join(monthly, ["user", "month"], "left")
         .select("user", "month", F.coalesce("orders", F.lit(0)).alias("orders"))
     )

@@ -5,16 +5,10 @@ from bindings.queries.growth import AS_OF, KGM, KGM_SCHEMA, KGM_VIEWS, kgm
 from bindings.queries.signup import ANSWERS, customer_types
 from bindings.registry import register
 from cohortia.operators import tours
-from cohortia.sources import taxonomy
-
-TOUR_EVENTS = [
-    taxonomy.TUTORIAL_STEP, taxonomy.TUTORIAL_BROKEN, taxonomy.LECTURE_COMPLETED,
-    *taxonomy.ACTIVATION,
-]
 
 
 def log(t):
-    return t.platform_event(TOUR_EVENTS)
+    return t.platform_event()
 
 
 def progress(t):
@@ -231,4 +225,4 @@ result AS (
   WHERE coalesce(CountCompleted, 0) + coalesce(CountClosed, 0) < 2)""",
 )
 def flow_conversion(t):
-    return tours.flow_conversion(t.platform_event([taxonomy.TOUR_STARTED, taxonomy.TOUR_ENDED]))
+    return tours.flow_conversion(t.platform_event())

@@ -21,6 +21,11 @@ INTERNAL = "acme"
 PRODUCT = "Acme"
 QUESTION = "Where does your journey start?"
 AS_OF = dt.datetime(2019, 12, 15, 9, 30)
+# What the reports cover; fixed values.
+GROWTH_SINCE = dt.date(2017, 12, 1)
+LOG_SINCE = dt.date(2016, 12, 1)
+NEW_USERS_SINCE = dt.date(2017, 1, 1)
+CHALLENGES_BETWEEN = dt.datetime(2018, 11, 1), dt.datetime(2019, 1, 1)
 
 RELATIVE_TYPES = [
     "WmIntroTutorialStep", "WmIntroTutorialStep", "WmIntroTutorialStep",
@@ -47,12 +52,6 @@ SHOP_TYPES = [
     "TemplateBrowserProjectCreationSucceeded", "MxShopItemDeletedFromCart",
     "TemplateBrowserProjectCreationSucceeded", "MxShopCartCheckout",
 ]
-FAMILIES = {
-    "relative": RELATIVE_TYPES,
-    "signup": SIGNUP_TYPES,
-    "activity": ACTIVITY_TYPES,
-    "shop": SHOP_TYPES,
-}
 STEPS = ["welcome1", "step2", "step3", "Finished", "Continue with learn", "Continue working in app"]
 TUTORIALS = [
     "journey_A:4", "journey_B:4", "journey_A:3", "journey_B:3", "journey_C:4", "plain", "x:1",

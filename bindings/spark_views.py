@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,17 +71,11 @@ class Tables:
 
     # --- event log ---------------------------------------------------------
 
-    def platform_event(self, *groups: Iterable[str]) -> DataFrame:
-        """The event log.  Given type lists, only the source tables that can
-        hold those types are read, as a log partitioned by family would allow."""
-        wanted = {t for group in groups for t in group}
-        return self._log(
-            tuple(f for f, types in rules.FAMILIES.items() if not wanted or wanted & set(types))
-        )
-
     @_once
-    def _log(self, families: tuple[str, ...]) -> DataFrame:
-        return reduce(DataFrame.unionByName, [getattr(self, f"_{f}")() for f in families])
+    def platform_event(self) -> DataFrame:
+        """The event log: every event of every source table."""
+        sources = (self._relative, self._signup, self._activity, self._shop)
+        return reduce(DataFrame.unionByName, [source() for source in sources])
 
     @_once
     def _relative(self) -> DataFrame:

@@ -38,15 +38,19 @@ def json_query(payload: Column, path: str) -> Column:
 
 def is_json(payload: Column) -> Column:
     """True for a valid JSON object or array; false otherwise, also for NULL."""
-    text = F.ltrim(payload)
+    text = F.ltrim(payload, F.lit(" \t\n\r"))
     valid = _looks_nested(text) & F.try_parse_json(payload).isNotNull()
     return F.coalesce(valid, F.lit(False))
 
 
 def json_fields(payload: Column, names: Sequence[str]) -> dict[str, Column]:
-    """Top-level scalars ``names`` of an object, decoded in a single parse."""
+    """Top-level scalars ``names`` of an object, decoded in a single parse.
+
+    With an option given, the optimizer keeps the one schema instead of cutting it down
+    to a parse for each field.
+    """
     schema = "struct<" + ",".join(f"`{n}`:string" for n in names) + ">"
-    decoded = F.from_json(payload, schema)
+    decoded = F.from_json(payload, schema, {"mode": "PERMISSIVE"})
     return {n: scalar_text(decoded[n]) for n in names}
 
 

@@ -12,9 +12,6 @@ from cohortia.functions import dates, text
 from cohortia.operators import relational as rel
 from cohortia.sources import taxonomy
 
-SINCE = dt.datetime(2018, 11, 1)
-UNTIL = dt.datetime(2019, 1, 1)
-
 # Output names that users of the tables rely on (the first one as spelled there).
 BEFORE = "LearnActivityBerforeChallenge"
 PROFILE_NAMES = {"Share": "KnowledgeShare"}
@@ -103,7 +100,7 @@ def challenge_activity(
     events: DataFrame,
     *,
     categories: Mapping[str, Iterable[str]],
-    between: tuple[dt.datetime, dt.datetime] = (SINCE, UNTIL),
+    between: tuple[dt.datetime, dt.datetime],
     days: int = 30,
 ) -> DataFrame:
     """Events per category in the closed ``days`` after each assignment.
@@ -136,7 +133,7 @@ def challenge_user_profile(
     *,
     categories: Mapping[str, Iterable[str]],
     as_of: dt.datetime,
-    after: dt.datetime = SINCE,
+    after: dt.datetime,
 ) -> DataFrame:
     """Distinct challenges per kind, recent activity and profile, per user."""
     named = {PROFILE_NAMES.get(c, c): types for c, types in categories.items()}
@@ -232,7 +229,7 @@ def before_after_activity(
     internal: str,
     as_of: dt.date | dt.datetime,
     learn_types: Iterable[str] = taxonomy.LECTURES,
-    after: dt.datetime = SINCE,
+    after: dt.datetime,
     days: int = 30,
 ) -> DataFrame:
     """Learning events in the ``days`` before and after a challenge assignment.

@@ -69,13 +69,23 @@ def monthly_existing_users(
         )
         .distinct()
     )
-    days = rel.active_days(events, types).withColumnRenamed("OpenId", "DayUser")
-    in_window = (F.col("UserId") == F.col("DayUser")) & F.col("YearMonthDay").between(
-        F.col("LowerBoundary"), F.col("UpperBoundary")
+    days = rel.active_days(events, types).select(
+        F.col("OpenId").alias("DayUser"), "YearMonthDay",
+        F.trunc("YearMonthDay", "MM").alias("DayMonth"),
+    )
+    # A span touches two or three months.  It meets the days of those months only, and
+    # months share no day, so their counts add up.
+    touched = spans.withColumn("SpanMonth", F.explode_outer(F.expr(
+        "sequence(trunc(LowerBoundary, 'MM'), trunc(UpperBoundary, 'MM'), interval 1 month)"
+    )))
+    in_window = (
+        (F.col("UserId") == F.col("DayUser"))
+        & (F.col("SpanMonth") == F.col("DayMonth"))
+        & F.col("YearMonthDay").between(F.col("LowerBoundary"), F.col("UpperBoundary"))
     )
     # Spans and days are both distinct, so a plain count is a distinct count.
     counts = (
-        spans.join(days, in_window, "left")
+        touched.join(days, in_window, "left")
         .groupBy(*spans.columns)
         .agg(F.count("YearMonthDay").alias("DaysActiveInSecondMonth"))
     )
@@ -223,12 +233,11 @@ def resurrection(
         .withColumn("Final", F.least(F.coalesce("NextMonth", last_finished), last_finished))
         .where(F.col("First") <= F.col("Final"))
     )
-    calendar = users_month.select("MonthYear").distinct()
     gap = dates.month_diff(F.col("LastActiveDate"), F.col("Month"))
     active = rel.flag((F.col("Month") == F.col("NextMonth")) & (F.col("NextActive") == 1))
     current = rel.flag(gap <= 12)
     older = rel.flag(gap > 12)
-    return (
+    churned = (
         gaps.select(
             "*", F.explode(F.expr("sequence(First, Final, interval 1 month)")).alias("Month")
         )
@@ -242,6 +251,6 @@ def resurrection(
             (current * active).alias("CurrentChurnersResurrected"),
             (older * active).alias("NonCurrentChurnersResurrected"),
         )
-        .join(calendar, "MonthYear", "left_semi")
-        .drop("SignupDate")
     )
+    # The known months are few, and each has very many users.
+    return rel.semi_join_spread(churned, users_month, "MonthYear", "UserId").drop("SignupDate")

@@ -12,21 +12,19 @@ from cohortia.functions import dates, text
 from cohortia.operators import relational as rel
 from cohortia.sources import taxonomy
 
-GROWTH_SINCE = dt.date(2017, 12, 1)
-
 
 def initiative_events(
     events: DataFrame,
     *,
     types: Iterable[str] = taxonomy.INITIATIVE_EVENTS,
-    after: dt.date = dt.date(2016, 12, 1),
+    after: dt.date,
 ) -> DataFrame:
     """The reduced event log that the initiative tables are built on."""
     return rel.event_scan(events, types, after=after)
 
 
 def growth_events(
-    events: DataFrame, *, types: Iterable[str], after: dt.date = GROWTH_SINCE
+    events: DataFrame, *, types: Iterable[str], after: dt.date
 ) -> DataFrame:
     """Events that count for the growth metrics."""
     return rel.event_scan(events, types, after=after)
@@ -278,11 +276,14 @@ def invite_conversion(
         .where(dates.month_finished(F.col("MonthYear"), as_of))
     )
     receivers = users.select(
-        F.col("email").alias("EmailAddressRetriever"), F.col("OldSignupDate").alias("SignupDate")
+        F.col("email").alias("_receiver"), F.col("OldSignupDate").alias("SignupDate")
     )
     later = F.col("InviteDate") < F.col("SignupDate")
     soon = dates.day_diff(F.col("InviteDate"), F.col("SignupDate")) <= days
-    return invites.join(receivers, "EmailAddressRetriever", "left").select(
+    joined = rel.left_join_sparse_key(
+        invites, receivers, "EmailAddressRetriever", "_receiver", ["OpenIdSender", "InviteDate"]
+    )
+    return joined.select(
         "OpenIdSender",
         "EmailAddressRetriever",
         "MonthYear",

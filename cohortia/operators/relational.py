@@ -35,18 +35,37 @@ def event_scan(
     between: tuple[dt.datetime, dt.datetime] | None = None,
 ) -> DataFrame:
     """Events of the given types, optionally later than ``after`` (exclusive)
-    or inside the closed range ``between``.  Both filters reach the file scan."""
+    or inside the closed range ``between``.  Both filters reach the file scan.
+
+    On a stored log, which has ``EventDate`` (the day or the month of the directory),
+    directories outside the bounds are not read.
+    """
     found = events.where(one_of("EventType", types))
+    stored = "EventDate" in events.columns
     if after is not None:
         found = found.where(F.col("Timestamp") > dates.as_instant(after))
+        if stored:
+            found = found.where(F.col("EventDate") >= F.lit(_month_of(after)))
     if between is not None:
         low, high = between
+        if stored:
+            found = found.where(
+                F.col("EventDate").between(F.lit(_month_of(low)), F.lit(_date_of(high)))
+            )
         found = found.where(
             F.col("Timestamp").between(dates.as_instant(low), dates.as_instant(high))
         )
     return found
 
 
+def _date_of(moment: dt.date | dt.datetime) -> dt.date:
+    return moment.date() if isinstance(moment, dt.datetime) else moment
+
+
+def _month_of(moment: dt.date | dt.datetime) -> dt.date:
+    return _date_of(moment).replace(day=1)
+
+
 def first_event(events: DataFrame, types: Iterable[str], name: str) -> DataFrame:
     """Earliest timestamp per user among ``types``."""
     return (
@@ -126,33 +145,73 @@ def keep_external(
 
 
 def left_join_sparse_key(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: Sequence[str]
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread: Sequence[str],
+    *, blanks_match: bool = True,
 ) -> DataFrame:
-    """Left join where ``left_key`` is NULL for a large share of the rows.
+    """Left join where ``left_key`` is missing for a large share of the rows.
 
     Spark would send all NULL keys to one partition.  They cannot match, so
     they get a filler key drawn from a hash of ``spread`` and scatter evenly;
-    the extra ``IS NOT NULL`` keeps the result exact even if a real key should
-    equal a filler.  ``right_key`` must not occur in ``left``.
+    the extra condition keeps the result exact even if a real key should
+    equal a filler.  ``right_key`` must not occur in ``left``.  With
+    ``blanks_match=False`` the right side has no blank keys, and blank ones of
+    the left side scatter as well.
     """
-    filler = F.concat(
-        F.lit("\u0000"), F.pmod(F.xxhash64(*spread), F.lit(4096)).cast("string")
-    )
-    keyed = left.withColumn("_key", F.coalesce(F.col(left_key), filler))
-    matched = (F.col("_key") == F.col(right_key)) & F.col(left_key).isNotNull()
+    filler = F.concat(F.lit("\u0000"), F.xxhash64(*spread).cast("string"))
+    present = F.col(left_key).isNotNull()
+    if not blanks_match:
+        present = text.not_blank(F.col(left_key))
+    keyed = left.withColumn("_key", F.when(present, F.col(left_key)).otherwise(filler))
+    matched = (F.col("_key") == F.col(right_key)) & present
     return keyed.join(right, matched, "left").drop("_key")
 
 
+def counted(rows: DataFrame, name: str) -> DataFrame:
+    """Distinct rows with the number of times that each is there."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(name))
+
+
+RUN = 1000  # copies that one row unfolds to in one step
+SALTS = 64  # tasks that the rows of one listed key value spread over
+
+
+def unfolded(rows: DataFrame, count: str) -> DataFrame:
+    """Repeat each row ``count`` times (NULL: once) and drop the column.
+
+    A row with very many copies first becomes runs of copies, which are dealt anew
+    before they unfold, so that no task has to write out all of them.
+    """
+    total = F.greatest(F.coalesce(F.col(count), F.lit(1)), F.lit(0)).cast("bigint")
+    staged = rows.withColumn("_n", total).where("_n > 0")
+    runs = staged.withColumn("_run", F.explode(F.expr(f"sequence(0L, (_n - 1) div {RUN})")))
+    dealt = runs.hint("rebalance")
+    left = F.least(F.lit(RUN), F.col("_n") - F.col("_run") * RUN)
+    return (
+        dealt.withColumn("_copy", F.explode(F.sequence(F.lit(1), left.cast("int"))))
+        .drop(count, "_n", "_run", "_copy")
+    )
+
+
 def left_join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join whose *right* side may hold one very frequent key.
+    """Left join whose *right* side repeats rows very often for some keys.
+
+    Adaptive execution cannot split the right side of a left join, so its rows are
+    counted first, map-side, and the copies unfold after the join.
+    """
+    joined = left.join(counted(right, "_copies"), key, "left")
+    return unfolded(joined, "_copies")
+
+
+def semi_join_spread(rows: DataFrame, known: DataFrame, key: str, spread: str) -> DataFrame:
+    """Semi-join with a short list of ``key`` values of which each has very many rows.
 
-    Adaptive execution can split a skewed partition on either side of an inner
-    join but only on the left side of a left join, so the matched and the
-    unmatched left rows are computed apart.
+    Both sides carry a salt, drawn from ``spread`` on the left and all salts on the
+    right, so that one value goes to many tasks.
     """
-    matched = left.join(right, key, "inner")
-    missing = left.join(right.select(key).distinct(), key, "left_anti")
-    return matched.unionByName(missing, allowMissingColumns=True)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    listed = known.select(key).distinct().withColumn(
+        "_salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    return salted.join(listed, [key, "_salt"], "left_semi").drop("_salt")
 
 
 # --- time lookups --------------------------------------------------------------

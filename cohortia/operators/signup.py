@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortia.functions import dates, payload, text
@@ -97,13 +97,11 @@ def _emails(events: DataFrame) -> DataFrame:
     )
 
 
-def _counted(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(name))
-
-
 def _with_progress(signups: DataFrame, completed: DataFrame, emails: DataFrame) -> DataFrame:
     """Attach completion and confirmation mail to signups, by hash.
 
+    Completions and mails come as distinct rows with counts, ``_completions`` and
+    ``_mails``: what one frequent hash repeats is carried as a number.
     The joins run on the signups before any visit is involved: most visits never
     sign up, and joining those on their NULL hash would pile up in one task.
     """
@@ -120,6 +118,12 @@ def _with_progress(signups: DataFrame, completed: DataFrame, emails: DataFrame)
     )
 
 
+def _repetitions() -> Column:
+    """How often completions and mails repeat a signup."""
+    one = F.lit(1)
+    return F.coalesce("_completions", one) * F.coalesce("_mails", one)
+
+
 _FUNNEL_PROFILE = ["HasStudentDomain", "StudentType", "Brand", "Source"]
 _FUNNEL_EXTRA = ["AreaOfFocus", "JobRole"]
 
@@ -141,7 +145,8 @@ def signup_funnel_by_visit(
 
     ``copies`` names a column that counts the repetitions of a row instead of
     repeating it.  Completions times mails of one signup can be very many, so
-    statistics over the older forms should use it as their weight.
+    statistics over the older forms should use it as their weight.  Without it the
+    repetitions unfold after all joins.
     """
     visits = _visits(events).groupBy(
         F.col("CookieId"),
@@ -155,24 +160,16 @@ def signup_funnel_by_visit(
         visits = visits.withColumn(
             "CountSignupPageVisits", rel.flag(F.col("CountSignupPageVisits") > 0)
         )
-    completed, emails = _completed(events), _emails(events)
-    if copies is not None:
-        completed = _counted(completed, "_completions")
-        emails = _counted(emails, "_mails")
-    elif dedupe:
-        completed, emails = completed.distinct(), emails.distinct()
+    completed = rel.counted(_completed(events), "_completions")
+    emails = rel.counted(_emails(events), "_mails")
     signups = unique_signups(events, internal=internal).withColumnRenamed(
         "CookieId", "SignupCookie"
     )
     progress = _with_progress(signups, completed, emails)
     started = F.coalesce("SignupStarted", F.lit(0))
     mailed = F.coalesce("EmailSuccessfulSent", F.lit(0))
-    repeated = []
-    if copies is not None:
-        one = F.lit(1)
-        count = one if dedupe else F.coalesce("_completions", one) * F.coalesce("_mails", one)
-        repeated = [count.cast("bigint").alias(copies)]
-    return visits.join(
+    count = F.lit(1) if dedupe else _repetitions()
+    rows = visits.join(
         progress, F.col("CookieId") == F.col("SignupCookie"), "left"
     ).select(
         "CookieId",
@@ -186,8 +183,11 @@ def signup_funnel_by_visit(
         started.alias("SignupStarted"),
         mailed.alias("EmailSuccessfulSent"),
         "SignupCompleted",
-        *repeated,
+        count.cast("bigint").alias(copies or "_copies"),
     )
+    if copies is not None:
+        return rows
+    return rows.drop("_copies") if dedupe else rel.unfolded(rows, "_copies")
 
 
 def signup_with_growth(
@@ -206,7 +206,8 @@ def signup_with_growth(
     """
     today = dates.as_day(as_of)
     joined = rel.left_join_sparse_key(
-        funnel, growth, "OpenId", "UserId", ["CookieId", "ExperimentGroup", "Experiment"]
+        funnel, growth, "OpenId", "UserId", ["CookieId", "ExperimentGroup", "Experiment"],
+        blanks_match=False,
     )
     if visit_before_signup:
         joined = joined.where(
@@ -313,13 +314,18 @@ def signup_step_funnel(
             ]
         )
     )
-    progress = _with_progress(signups, _completed(events), _emails(events))
-    return progress.join(
+    progress = _with_progress(
+        signups, rel.counted(_completed(events), "_completions"),
+        rel.counted(_emails(events), "_mails"),
+    )
+    rows = progress.join(
         steps, F.col("ConfirmationHash") == F.col("StepHash"), "left"
     ).select(
         "CookieId", "SignupDateStarted", "OpenId", "Email",
         "SignupStarted", "EmailSuccessfulSent", "SignupCompleted", *step_flags,
+        _repetitions().alias("_copies"),
     )
+    return rel.unfolded(rows, "_copies")
 
 
 # --- form answers ----------------------------------------------------------------------
@@ -428,7 +434,7 @@ def new_users(
     company: DataFrame,
     *,
     internal: str,
-    since: dt.date = dt.date(2017, 1, 1),
+    since: dt.date,
     profile: Sequence[str] = (*_NEW_USER_PROFILE, *_FUNNEL_EXTRA),
     invite_reasons: Iterable[str] = taxonomy.INVITE_REASONS,
 ) -> DataFrame:
@@ -437,8 +443,11 @@ def new_users(
     One row per user and completed signup.  ``SignupCompleted`` is 1 for every
     completed event with a hash, whether or not its start is known.
     """
-    started = started_signups(events, internal=internal).select(
-        F.col("ConfirmationHash").alias("StartedHash"), *profile
+    started = rel.counted(
+        started_signups(events, internal=internal).select(
+            F.col("ConfirmationHash").alias("StartedHash"), *profile
+        ),
+        "_starts",
     )
     completed = rel.event_scan(events, [taxonomy.SIGNUP_COMPLETED]).where(
         F.col("OpenId").isNotNull()
@@ -454,7 +463,10 @@ def new_users(
         started, F.col("CompletedHash") == F.col("StartedHash"), "left"
     ).select(
         F.col("OpenId").alias("UserKey"), "OpenId", *profile, "SignupReason", "SignupSource",
-        rel.flag(F.col("CompletedHash").isNotNull()).alias("SignupCompleted"),
+        rel.flag(F.col("CompletedHash").isNotNull()).alias("SignupCompleted"), "_starts",
+    )
+    repeated = signups.groupBy(*[c for c in signups.columns if c != "_starts"]).agg(
+        F.sum(F.coalesce("_starts", F.lit(1))).alias("_copies")
     )
     recent = users.where(F.to_date("SignupDate") > F.lit(since)).select(
         F.col("OpenId").alias("UserKey"), "Country",
@@ -464,7 +476,7 @@ def new_users(
     types = growth.select(F.col("UserId").alias("UserKey"), "CompanyType")
     names = company.select("CompanyId", "DisplayName")
     known = recent.join(names, "CompanyId", "left").join(types, "UserKey", "left")
-    return rel.left_join_many(known, signups, "UserKey").select(
+    return rel.unfolded(known.join(repeated, "UserKey", "left"), "_copies").select(
         "OpenId", *profile, "SignupReason", "SignupSource", "SignupCompleted",
         "CompanyType", "Country", "SignupDateUser", "Brand", "CompanyId", "Email",
         "DisplayName",

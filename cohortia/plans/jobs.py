@@ -25,7 +25,9 @@ class Settings:
 
     ``internal`` is the part of company names and addresses that marks the own
     company, ``product`` the prefix of its review event, ``question`` the signup
-    question that decides the customer type.
+    question that decides the customer type.  The reports cover what is later than
+    ``growth_since`` (growth metrics), ``log_since`` (the reduced log) and
+    ``new_users_since``, and challenges within ``challenges_between``.
     """
 
     source: str
@@ -34,6 +36,10 @@ class Settings:
     product: str
     question: str
     as_of: dt.datetime
+    growth_since: dt.date
+    log_since: dt.date
+    new_users_since: dt.date
+    challenges_between: tuple[dt.datetime, dt.datetime]
     excluded_owners: tuple[str, ...] = ()
     log_partition: str = "day"
 
@@ -64,7 +70,7 @@ class Jobs:
         """The reduced event log and the key growth metrics."""
         events = self.base("platform_event")
         tables.write_event_log(
-            growth.initiative_events(events), self.s.target, "initiatives_events",
+            growth.initiative_events(events, after=self.s.log_since), self.s.target, "initiatives_events",
             by=self.s.log_partition,
         )
         types = taxonomy.growth_types(self.s.product)
@@ -72,7 +78,8 @@ class Jobs:
         self.replace(
             "initiatives_kgm",
             growth.key_growth_metrics(
-                users, growth.growth_events(events, types=types), self.base("company_current"),
+                users, growth.growth_events(events, types=types, after=self.s.growth_since),
+                self.base("company_current"),
                 internal=self.s.internal, retention_types=types,
             ),
         )
@@ -83,7 +90,9 @@ class Jobs:
         kgm = self.report("initiatives_kgm")
         self.replace("signup_experiment_allocation", signup.experiment_allocation(log))
         self.replace("signup_funnel", signup.signup_step_funnel(log, internal=internal))
-        answers = tables.staged(signup.form_answers(log, internal=internal))
+        answers = tables.staged(
+            signup.form_answers(log, internal=internal), self.s.target, "signup_answers"
+        )
         self.replace("signup_pageinfo_full", signup.page_info_daily(answers))
         self.replace(
             "customer_types", signup.customer_types(answers, log, question=self.s.question)
@@ -99,7 +108,8 @@ class Jobs:
         self.replace(
             "new_users",
             signup.new_users(
-                self.base("user_current"), log, kgm, self.base("company_current"), internal=internal
+                self.base("user_current"), log, kgm, self.base("company_current"), internal=internal,
+                since=self.s.new_users_since,
             ),
         )
 
@@ -129,7 +139,7 @@ class Jobs:
                 experiments.ab_significance(long, as_of=self.s.as_of, weight=weight),
                 self.base("experiment_current"),
             )
-            tables.append_day(results, self.s.target, name)
+            tables.append_day(results, self.s.target, name, value=self.s.as_of.date())
 
     def guided_tours(self) -> None:
         """Tutorial reports in their three forms, and flow conversion."""
@@ -172,7 +182,8 @@ class Jobs:
                     months, users, events, types=activity, internal=internal
                 ),
                 as_of=self.s.as_of,
-            )
+            ),
+            self.s.target, "existing_user_churn",
         )
         self.replace("existing_users", existing.existing_users_certified(rows, users))
         self.replace("existing_users_year", existing.existing_users_by_year(rows, users))
@@ -203,15 +214,16 @@ class Jobs:
         self.replace("challenges_credits_full", challenges.credits_claimed_raw(events))
         return {
             "activity": challenges.challenge_activity(
-                self.report("challenges_progress"), events, categories=categories
+                self.report("challenges_progress"), events, categories=categories,
+                between=self.s.challenges_between,
             ),
             "profile": challenges.challenge_user_profile(
                 events, users, self.base("company_current"), self.base("gamification"),
-                categories=categories, as_of=self.s.as_of,
+                categories=categories, as_of=self.s.as_of, after=self.s.challenges_between[0],
             ),
             "before_after": challenges.before_after_activity(
                 events, users, challenge_prefix=before_after_prefix, internal=internal,
-                as_of=self.s.as_of,
+                as_of=self.s.as_of, after=self.s.challenges_between[0],
             ),
         }
 

@@ -6,8 +6,6 @@ A table is a directory under a root that every executor can reach.
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,19 +30,16 @@ def create_table(rows: DataFrame, root: str, name: str) -> None:
 
 
 def append_day(
-    rows: DataFrame, root: str, name: str, *, day: str = "CurrentDate"
+    rows: DataFrame, root: str, name: str, *, value: dt.date, day: str = "CurrentDate"
 ) -> None:
-    """Add one day's results to a growing table.
+    """Add the results of the day ``value`` to a growing table.
 
-    The table is partitioned by ``day`` and only the days present in ``rows``
-    are written, so running a day again replaces that day and keeps the rest.
+    The table is partitioned by ``day``.  The day's directory is replaced as a whole, so
+    running a day again replaces that day, also by nothing, and keeps the rest.  All
+    ``rows`` are of that day.
     """
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(f"{root.rstrip('/')}/{name}")
-    )
+    folder = f"{root.rstrip('/')}/{name}/{day}={value.isoformat()}"
+    rows.drop(day).write.mode("overwrite").parquet(folder)
 
 
 def _period(by: str) -> Column:
@@ -53,21 +48,17 @@ def _period(by: str) -> Column:
     return F.to_date("Timestamp") if by == "day" else F.trunc("Timestamp", "MM")
 
 
-def write_event_log(
-    events: DataFrame, root: str, name: str, *, by: str = "day", files: int = 64
-) -> None:
+def write_event_log(events: DataFrame, root: str, name: str, *, by: str = "day") -> None:
     """Write an event log for pruned reads.
 
-    Partitioned by day (or month, for a small log) and sorted by event type
-    within files, so that time bounds skip directories and type lists skip row
-    groups.  A period is spread over up to ``files`` tasks, so a heavy one never
-    lands in a single file.
+    Partitioned by day (or month, for a small log) and sorted by event type within files,
+    so that time bounds skip directories and type lists skip row groups.  Adaptive
+    execution deals the rows by bytes: a heavy day goes to several tasks, and light ones
+    share a task.
     """
     (
         events.withColumn("EventDate", _period(by))
-        .withColumn("_spread", F.pmod(F.xxhash64("OpenId", "Timestamp"), F.lit(files)))
-        .repartition("EventDate", "_spread")
-        .drop("_spread")
+        .hint("rebalance", "EventDate")
         .sortWithinPartitions("EventDate", "EventType", "OpenId")
         .write.mode("overwrite")
         .partitionBy("EventDate")
@@ -78,30 +69,24 @@ def write_event_log(
 def read_event_log(
     spark: SparkSession, root: str, name: str, *, since: dt.date | None = None, by: str = "day"
 ) -> DataFrame:
-    """An event log, from ``since`` on; earlier periods are not read."""
+    """An event log, from ``since`` on; earlier periods are not read.
+
+    The rows keep ``EventDate``, from which ``relational.event_scan`` prunes by its bounds.
+    """
     log = read_table(spark, root, name)
     if since is not None:
         period = since if by == "day" else since.replace(day=1)
         log = log.where(
             (F.col("EventDate") >= F.lit(period)) & (F.to_date("Timestamp") >= F.lit(since))
         )
-    return log.drop("EventDate")
+    return log
 
 
-def staged(rows: DataFrame) -> DataFrame:
-    """Compute ``rows`` once and cut its lineage, for results read many times.
+def staged(rows: DataFrame, root: str, name: str) -> DataFrame:
+    """Write ``rows`` as a table and read it back, for results read many times.
 
-    The rows are written as a table in the shared folder that
-    ``spark.checkpoint.dir`` names, so they outlive lost executors and later
-    reads fetch only the columns they need.  Only a local session without that
-    setting gets a folder of its own.  The folder is emptied by its owner.
+    Cuts the lineage: the table outlives lost executors, and later reads fetch only the
+    columns they need.
     """
-    spark = rows.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        folder = tempfile.mkdtemp(prefix="cohortia-")
-    path = f"{folder.rstrip('/')}/staged-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
-    return spark.read.parquet(path)
+    replace_table(rows, root, name)
+    return read_table(rows.sparkSession, root, name)

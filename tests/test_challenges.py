@@ -1,5 +1,6 @@
 import datetime as dt
 
+from bindings import rules
 from cohortia.operators import challenges
 from cohortia.sources import taxonomy
 from tests.conftest import at, by_key, day, rows
@@ -58,7 +59,8 @@ def test_activity_window_is_closed_and_bounded_by_the_log_range(make):
         ("u", "TeamserverCommit", "2018-11-10 09:59:59"), ("u", "OnlineLectureStarted", "2018-11-20"), ("u", "OnlineLectureStarted", "2018-11-20"),
         ("u", "AcmeReviewAdded", "2019-01-01"), ("u", "AcmeReviewAdded", "2019-01-02"), ("u", "Unlisted", "2018-11-20"),
     ])
-    got = challenges.challenge_activity(progress, events, categories=CATEGORIES)
+    got = challenges.challenge_activity(
+        progress, events, categories=CATEGORIES, between=rules.CHALLENGES_BETWEEN)
     assert rows(got, "OpenId", "ChallengeId", "DevActivity", "LearnActivity", "SocialActivity") == [
         ("idle", "c", 0, 0, 0), ("u", "c", 2, 2, 0), ("u", "d", 0, 0, 1), ("u", "e", 0, 0, 0),
     ]
@@ -74,7 +76,8 @@ def test_user_profile(make):
     ])
     points = make.table("OpenId string, HighestCert string, Level int, Total_points int", [("u", "gold", 3, 70)])
     got = challenges.challenge_user_profile(
-        events, make.users([("u", "C1", "2018-01-01")]), make.company(), points, categories=CATEGORIES, as_of=as_of
+        events, make.users([("u", "C1", "2018-01-01")]), make.company(), points, categories=CATEGORIES, as_of=as_of,
+        after=rules.CHALLENGES_BETWEEN[0],
     )
     assert by_key(
         got, "OpenId", "CountChallengeAssigned", "CountChallengeCompleted", "CountChallengeCreditsClaimed", "CountCurrentlyActive",
@@ -106,7 +109,8 @@ def test_before_and_after(make):
     users = make.users([
         ("u", "C1", "2018-01-01"), ("new", "C1", "2018-12-01"), ("fresh", "C1", "2018-01-01"), ("own", "acme", "2018-01-01"), ("calm", "C1", "2018-11-30"),
     ])
-    got = challenges.before_after_activity(events, users, challenge_prefix="key", internal="acme", as_of=dt.datetime(2019, 3, 15))
+    got = challenges.before_after_activity(events, users, challenge_prefix="key", internal="acme",
+        as_of=dt.datetime(2019, 3, 15), after=rules.CHALLENGES_BETWEEN[0])
     assert by_key(got, "OpenId", challenges.BEFORE, "LearnActivityAfterChallenge", "DiffLearnActivity", "CountCreditsClaimed") == {
         "u": (2, 1, -1, 1), "calm": (0, 0, 0, 0),
     }

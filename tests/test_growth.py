@@ -12,7 +12,7 @@ def test_initiative_events_filters_type_and_time(make):
     events = make.events([
         ("u", "SandboxDeployed", "2016-12-01"), ("u", "SandboxDeployed", "2016-12-01 00:00:01"), ("u", "Other", "2018-01-01"),
     ])
-    assert rows(growth.initiative_events(events), "ChangedId") == [(1,)]
+    assert rows(growth.initiative_events(events, after=dt.date(2016, 12, 1)), "ChangedId") == [(1,)]
 
 
 def users(make):

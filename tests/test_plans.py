@@ -3,6 +3,7 @@
 import pytest
 
 import bindings.queries  # noqa: F401  (fills the registry)
+from bindings import rules
 from bindings.registry import REGISTRY
 from bindings.spark_views import Tables
 from cohortia.operators import growth
@@ -31,7 +32,7 @@ def test_growth_chain_shuffles_the_user_rows_once(no_broadcast):
     users = growth.growth_users(t.user_current(), internal="acme")
     text = plan(
         growth.key_growth_metrics(
-            users, growth.growth_events(t.platform_event(), types=types), t.company_current(),
+            users, growth.growth_events(t.platform_event(), types=types, after=rules.GROWTH_SINCE), t.company_current(),
             internal="acme", retention_types=types,
         )
     )

@@ -206,7 +206,7 @@ def test_new_users(make):
         completed("own", "unknown"), completed(None, "h"),
     ])
     growth = growth_table(make, [("u", "Customer", day("2018-01-05"), 1, 1)])
-    got = signup.new_users(users, events, growth, make.company(), internal="acme")
+    got = signup.new_users(users, events, growth, make.company(), internal="acme", since=dt.date(2017, 1, 1))
     assert rows(got, "Email", "OpenId", "SignupSource", "HasStudentDomain", "SignupCompleted", "CompanyType", "DisplayName") == [
         ("own@x", "own", "Marketing Inbound", None, 1, None, None),
         ("plain@x", None, None, None, None, None, None),

@@ -5,6 +5,7 @@ import pytest
 from bindings import rules
 from bindings.registry import REGISTRY
 from bindings.spark_views import Tables
+from cohortia.operators import relational as rel
 from cohortia.plans.jobs import Jobs, Settings
 from cohortia.sources import tables
 from tests.conftest import day, rows
@@ -23,8 +24,10 @@ def test_replace_create_and_append(spark, make, tmp_path):
     with pytest.raises(Exception, match="(?i)exists"):
         tables.create_table(result("2019-01-03", 3.0), root, "t")
     tables.create_table(result("2019-01-03", 3.0), root, "new")
-    for d, v in (("2019-01-01", 1.0), ("2019-01-02", 2.0), ("2019-01-02", 2.5)):
-        tables.append_day(result(d, v), root, "history")
+    for d, v in (("2019-01-01", 1.0), ("2019-01-02", 2.0), ("2019-01-02", 2.5), ("2019-01-03", 3.0)):
+        tables.append_day(result(d, v), root, "history", value=day(d))
+    # a rerun of a day that finds nothing replaces it as well
+    tables.append_day(result("2019-01-03", 3.0).where("false"), root, "history", value=day("2019-01-03"))
     assert rows(tables.read_table(spark, root, "history"), "CurrentDate", "Zscore") == [
         (day("2019-01-01"), 1.0), (day("2019-01-02"), 2.5),
     ]
@@ -44,13 +47,25 @@ def test_event_log_is_pruned_by_day_and_filtered_in_the_scan(spark, make, tmp_pa
 
 def test_month_partitions_are_pruned_too(spark, make, tmp_path):
     events = make.events([("u", "a", "2018-01-31"), ("v", "a", "2018-02-10"), ("w", "a", "2018-02-20")])
-    tables.write_event_log(events, str(tmp_path), "log", by="month", files=2)
+    tables.write_event_log(events, str(tmp_path), "log", by="month")
     log = tables.read_event_log(spark, str(tmp_path), "log", since=dt.date(2018, 2, 15), by="month")
     assert rows(log, "OpenId") == [("w",)]
 
 
-def test_staged_rows_survive_without_lineage(spark, make):
-    staged = tables.staged(make.table("a int", [(1,), (2,)]).selectExpr("a + 1 AS a"))
+def test_bounds_of_an_operator_prune_the_stored_log(spark, make, tmp_path):
+    events = make.events([("u", "a", "2018-01-31"), ("v", "a", "2018-02-10"), ("w", "a", "2018-03-20")])
+    tables.write_event_log(events, str(tmp_path), "log")
+    log = tables.read_event_log(spark, str(tmp_path), "log")
+    late = rel.event_scan(log, ["a"], after=dt.date(2018, 2, 15))
+    inside = rel.event_scan(log, ["a"], between=(dt.datetime(2018, 1, 1), dt.datetime(2018, 2, 10)))
+    for found, want in ((late, ["w"]), (inside, ["u", "v"])):
+        assert rows(found, "OpenId") == [(x,) for x in want]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(EventDate" in plan
+
+
+def test_staged_rows_survive_without_lineage(spark, make, tmp_path):
+    staged = tables.staged(make.table("a int", [(1,), (2,)]).selectExpr("a + 1 AS a"), str(tmp_path), "s")
     assert rows(staged) == [(2,), (3,)]
     plan = staged._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "LocalTableScan" not in plan
@@ -64,7 +79,8 @@ def test_jobs_build_the_same_reports_as_the_queries(spark, tmp_path):
         "experiment_current", "gamification",
     ):
         tables.replace_table(getattr(t, name)(), source, name)
-    jobs = Jobs(spark, Settings(source, target, rules.INTERNAL, rules.PRODUCT, rules.QUESTION, rules.AS_OF, ("Stone",), "month"))
+    jobs = Jobs(spark, Settings(source, target, rules.INTERNAL, rules.PRODUCT, rules.QUESTION, rules.AS_OF,
+        rules.GROWTH_SINCE, rules.LOG_SINCE, rules.NEW_USERS_SINCE, rules.CHALLENGES_BETWEEN, ("Stone",), "month"))
     jobs.initiatives()
     jobs.signups()
     jobs.significance()
