@@ -18,31 +18,23 @@ def unpivot_sql(source: str, date: str, metrics) -> str:
     return f"long AS ({parts})"
 
 
-# Explicit deviations and the join back to group moments, as a check on the
-# single-pass form.
+# The built-in sample variance, as a check on the weighted sums of the operator.  Rows
+# without an experiment have no group moments, as their key equals nothing.
 MOMENTS = f"""
-kept AS (SELECT * FROM long WHERE ExperimentGroup <> '' AND ExperimentGroup IS NOT NULL),
-mu AS (
-  SELECT Experiment, ExperimentGroup, Metric, avg(CAST(Value AS DOUBLE)) AS Mu, count(Metric) AS N
-  FROM kept GROUP BY Experiment, ExperimentGroup, Metric),
-deviation AS (
-  SELECT a.*, b.Mu, b.N, power(a.Value - b.Mu, 2) AS Deviance
-  FROM kept a LEFT JOIN mu b ON a.ExperimentGroup = b.ExperimentGroup AND a.Experiment = b.Experiment AND a.Metric = b.Metric),
-variances AS (
-  SELECT Experiment, ExperimentGroup, Metric, N, Mu, CASE WHEN N - 1 = 0 THEN NULL ELSE sum(Deviance) / (N - 1) END AS SampleVariance
-  FROM deviation GROUP BY Experiment, ExperimentGroup, Metric, N, Mu),
+moments AS (
+  SELECT Experiment, Metric, ExperimentGroup AS grp, if(Experiment IS NULL, NULL, count(*)) AS n,
+    if(Experiment IS NULL, NULL, avg(Value)) AS mean, if(Experiment IS NULL, NULL, var_samp(Value)) AS variance
+  FROM long WHERE trim(ExperimentGroup) <> '' GROUP BY Experiment, Metric, ExperimentGroup),
 tested AS (
-  SELECT CAST({AS_OF} AS DATE) AS CurrentDate, Experiment, Metric,
-    max(CASE WHEN ExperimentGroup = 'A' THEN ExperimentGroup END) AS G1, max(CASE WHEN ExperimentGroup = 'B' THEN ExperimentGroup END) AS G2,
-    sum(CASE WHEN ExperimentGroup = 'A' THEN N END) AS N1, sum(CASE WHEN ExperimentGroup = 'B' THEN N END) AS N2,
-    sum(CASE WHEN ExperimentGroup = 'A' THEN Mu END) AS Mu1, sum(CASE WHEN ExperimentGroup = 'B' THEN Mu END) AS Mu2,
-    CASE WHEN sqrt(sum(SampleVariance / N)) = 0 THEN NULL ELSE (max(Mu) - min(Mu)) / sqrt(sum(SampleVariance / N)) END AS Zscore
-  FROM variances GROUP BY Experiment, Metric),
+  SELECT {AS_OF}::DATE AS CurrentDate, Experiment, Metric,
+    any_value(grp) FILTER (grp = 'A') AS G1, any_value(grp) FILTER (grp = 'B') AS G2,
+    any_value(n) FILTER (grp = 'A') AS N1, any_value(n) FILTER (grp = 'B') AS N2,
+    any_value(mean) FILTER (grp = 'A') AS Mu1, any_value(mean) FILTER (grp = 'B') AS Mu2,
+    (max(mean) - min(mean)) / nullif(sqrt(sum(variance / n)), 0) AS Zscore
+  FROM moments GROUP BY Experiment, Metric),
 gated AS (
-  SELECT t.* FROM tested t LEFT JOIN (
-    SELECT UniqueId, CAST(StartDate AS DATE) AS StartDate, CAST(EndDate AS DATE) AS EndDate FROM experiment_current) e
-  ON t.Experiment = e.UniqueId
-  WHERE (CurrentDate > StartDate AND EndDate IS NULL) OR EndDate + 30 > CurrentDate OR StartDate IS NULL)"""
+  SELECT t.* FROM tested t LEFT JOIN experiment_current e ON e.UniqueId = t.Experiment
+  WHERE StartDate IS NULL OR coalesce(CurrentDate < EndDate::DATE + 30, CurrentDate > StartDate::DATE))"""
 
 SIGNUP = TEST_SQL + "," + unpivot_sql("joined", "FirstSignupPageVisit", experiments.SIGNUP_METRICS)
 TOUR = SIGNIFICANCE_SQL + "," + unpivot_sql("significance_rows", "FirstStartDate", experiments.TOUR_METRICS)
