@@ -6,7 +6,7 @@ import bindings.queries  # noqa: F401  (fills the registry)
 from bindings import rules
 from bindings.registry import REGISTRY
 from bindings.spark_views import Tables
-from cohortia.operators import growth
+from cohortia.operators import growth, signup
 from cohortia.operators import relational as rel
 from cohortia.sources import taxonomy
 
@@ -53,3 +53,34 @@ def test_user_days_shuffle_on_user_and_day(spark, make):
     text = plan(rel.active_days(events, ["a"]))
     assert "Exchange hashpartitioning(OpenId" in text and "YearMonthDay" in text.split("Exchange hashpartitioning(")[1].split(")")[0]
     assert text.index("HashAggregate", text.index("Exchange")) > 0  # a partial step below the shuffle
+
+
+def exchanges(text):
+    return [line.split("Exchange hashpartitioning(")[1].split("), ")[0]
+            for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+
+
+def test_months_are_never_the_only_shuffle_key(no_broadcast):
+    for name in ("m22_resurrection", "p30_users_by_month"):
+        keys = exchanges(plan(REGISTRY[name].spark(no_broadcast, SF)))
+        # of the listed months themselves there is a row each; what joins them is salted
+        alone = [k for k in keys if k.count("#") == 1 and "onth" in k]
+        assert len(alone) <= 1, keys
+
+
+def test_spans_meet_days_by_user_and_month(no_broadcast):
+    text = plan(REGISTRY["m18_monthly_existing_users"].spark(no_broadcast, SF))
+    assert any("UserId" in k and "SpanMonth" in k for k in exchanges(text))
+
+
+def test_started_payload_is_parsed_with_one_schema(spark):
+    t = Tables(spark, SF)
+    text = plan(signup.started_signups(t.platform_event(), internal="acme"))
+    parses = {part.split("mode")[0] for part in text.split("from_json(")[1:]}
+    assert len(parses) == 1 and "CookieID" in next(iter(parses)) and "JobRole" in next(iter(parses))
+
+
+def test_new_users_compute_their_inputs_once(no_broadcast):
+    text = plan(REGISTRY["m16_new_users"].spark(no_broadcast, SF))
+    assert text.count("LeftAnti") == 0
+    assert text.count("customer.parquet") <= 3

@@ -131,6 +131,32 @@ def test_left_join_many_is_a_left_join(spark):
     assert rows(got, "x", "v") == rows(left.join(right, "k", "left"), "x", "v")
 
 
+def test_repeated_rows_unfold_in_runs(spark):
+    rows_ = spark.createDataFrame([("a", 2500), ("b", 1), ("c", None), ("d", 0)], "k string, n bigint")
+    assert rows(rel.unfolded(rows_, "n").groupBy("k").count()) == [("a", 2500), ("b", 1), ("c", 1)]
+
+
+def test_frequent_key_of_a_left_join_is_carried_as_a_count(spark):
+    left = spark.createDataFrame([("hot", 1), ("cold", 2), ("none", 3)], "k string, x int")
+    right = spark.range(5000).selectExpr("if(id < 4990, 'hot', 'cold') AS k", "1 AS v")
+    got = rel.left_join_many(left, right, "k")
+    assert rows(got.groupBy("x").count()) == [(1, 4990), (2, 10), (3, 1)]
+
+
+def test_semi_join_with_few_values_is_spread(spark):
+    many = spark.range(1000).selectExpr("id", "id % 3 AS m")
+    known = spark.createDataFrame([(0,), (1,), (1,), (7,)], "m bigint")
+    got = rel.semi_join_spread(many, known, "m", "id")
+    assert got.columns == ["m", "id"] and got.count() == 667
+
+
+def test_blank_keys_scatter_where_nothing_is_blank(spark):
+    left = spark.createDataFrame([("a", 1), ("", 2), (None, 3)], "k string, id int")
+    right = spark.createDataFrame([("a", "x")], "rk string, v string")
+    got = rel.left_join_sparse_key(left, right, "k", "rk", ["id"], blanks_match=False)
+    assert rows(got, "id", "v") == [(1, "x"), (2, None), (3, None)]
+
+
 def test_semi_join_keeps_duplicates_and_never_fans_out(spark, make):
     users = make.users([("u", "C1", "2018-01-01"), ("u", "C2", "2018-01-01"), ("v", "Acme", "2018-01-01"), ("w", None, "2018-01-01")])
     events = spark.createDataFrame([("u", 1), ("u", 1), ("v", 2), ("w", 3), (None, 4)], "OpenId string, n int")

@@ -144,6 +144,11 @@ def test_is_json_wants_a_container(spark):
     assert got == [True, True, False, False, False, False, False]
 
 
+def test_is_json_skips_all_leading_white_space(spark):
+    df = spark.createDataFrame([("\n {\"a\":1}",), ("\t\r\n[1]",), (" \n x",), ("\n",)], "d string")
+    assert [r[0] for r in df.select(payload.is_json(F.col("d"))).collect()] == [True, True, False, False]
+
+
 def test_open_json_row_counts(spark):
     values = {"object": '{"a":"1"}', "array": '[{"a":"1"},{"a":"2"}]', "empty": "[]", "blank": "", "null": None, "bad": "{"}
     df = spark.createDataFrame(list(values.items()), "name string, d string")
