@@ -68,14 +68,61 @@ def test_awkward_rows(spark):
     assert jaccard.one_of_each(samples.empty(spark)).count() == 0
 
 
-def test_sketch_is_an_order_only(spark):
+def test_short_lists_are_the_rarest(spark):
     texts = samples.prose(9, 80, words=80)
-    frame = samples.docs(spark, texts)
-    levels = jaccard.frequency_sketch(frame, bits=8)
+    frame = samples.docs(spark, texts).coalesce(1)  # a task shows a class once
+    rows = jaccard.described(frame, bits=8)
+    docs = {r["doc_id"]: r for r in rows.filter("kind = 0").collect()}
+    assert [docs[i]["n"] for i in range(80)] == [len(s) for s in sets_of(texts, 3)]
+    levels = jaccard.frequency_sketch(rows, bits=8)
     assert levels.size == 256
     for own in (levels, np.zeros(256, np.uint8)):
-        rows = jaccard.described(frame, own).collect()
-        assert [r["n"] for r in sorted(rows, key=lambda r: r["doc_id"])] == [len(s) for s in sets_of(texts, 3)]
-        shown = {r["c"]: r for r in rows if r["short"] is not None}
-        assert shown.keys() == {r["c"] for r in rows}
-        assert all(len(r["short"]) == r["n"] - -(-9 * r["n"] // 10) + 1 for r in shown.values())
+        home = {}
+        for r in jaccard.short_lists(frame, own, words=3, percent=90, parts=5).filter("NOT guest").collect():
+            assert all((x % (1 << 64)) % 5 == r["part"] for x in r["shingles"]) and len(r["cells"]) == r["width"]
+            home.setdefault(r["c"], (r["n"], []))[1].extend(r["shingles"])
+        assert home.keys() == {r["c"] for r in docs.values()}
+        for n, shown in home.values():
+            assert len(set(shown)) == len(shown) == n - -(-9 * n // 10) + 1
+
+
+def test_lists_hold_together_what_may_link(spark, monkeypatch):
+    """The bound never parts a true link, whatever the widths, batches and lengths."""
+    texts = samples.prose(12, 150, words=60)
+    sets = sets_of(texts, 3)
+    want = components_of(sets, 90)
+    frame = samples.docs(spark, texts)
+    rows = jaccard.described(frame, bits=10).cache()
+    class_of = {r["doc_id"]: r["c"] for r in rows.filter("kind = 0").collect()}
+    levels = jaccard.frequency_sketch(rows, bits=10)
+    own = lambda n, percent: 16 << min(3, int(n) // 25)  # noqa: E731  many guests
+    for long_, batch, width in ((20_000, "10000", jaccard.width_of), (20_000, "7", own), (2, "10000", own), (2, "7", own)):
+        monkeypatch.setattr(jaccard, "LONG", long_)
+        monkeypatch.setattr(jaccard, "width_of", width)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        root = {c: c for c in class_of.values()}
+
+        def find(c):
+            while root[c] != c:
+                c = root[c]
+            return c
+
+        for r in jaccard.candidate_links(frame, levels).collect():
+            root[find(r["a"])] = find(r["b"])
+        for i, j in itertools.combinations(range(len(texts)), 2):
+            if want[i] == want[j]:
+                assert find(class_of[i]) == find(class_of[j])
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_bound_of_the_overlap():
+    own = [jaccard.shingles(t) for t in dict.fromkeys(samples.prose(4, 80, words=50))]
+    n = np.array([len(x) for x in own])
+    for width in (16, 64):
+        cells = np.stack([np.bincount((x & np.uint64(width - 1)).astype(int), minlength=width) for x in own])
+        for i in range(len(own)):
+            near = jaccard.may_link(n[i], cells[i], n, cells, 90)
+            for j in range(len(own)):
+                shared = len(np.intersect1d(own[i], own[j]))
+                if 100 * shared >= 90 * (n[i] + n[j] - shared):
+                    assert near[j]
