@@ -96,4 +96,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_quality, op8_repeats, op9_pieces, op10_pitman_yor,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+#: All pairs, and what links reach by recursion: for tables that are small.
+_REACHED = """
+reached AS (
+  SELECT id AS a, id AS b FROM node UNION SELECT r.a, l.b FROM reached r JOIN link l ON l.a = r.b)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_lattice": f"""
+WITH RECURSIVE node AS (SELECT DISTINCT vec_id AS id FROM embeddings),
+v AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+link AS (
+  SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.id <> y.id AND len(x.e) = len(y.e)
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+{_REACHED},
+root AS (SELECT a AS id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN root ON id = vec_id""",
+    "op4_jaccard": f"""
+WITH RECURSIVE node AS (SELECT DISTINCT doc_id AS id FROM documents),
+word AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+shingled AS (
+  SELECT doc_id, CASE WHEN coalesce(len(w), 0) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM word),
+place AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM shingled),
+link AS (
+  SELECT x.doc_id AS a, y.doc_id AS b FROM place x JOIN place y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+{_REACHED},
+root AS (SELECT a AS id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM shingled JOIN root ON id = doc_id""",
+}
