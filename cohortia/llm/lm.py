@@ -124,6 +124,26 @@ def _groups(slices: Iterator[dict[str, list]], name: str) -> Iterator[tuple[int,
         yield key, rows
 
 
+COUNTED = 1 << 16  # word counts from here on are one class of the count statistics
+
+
+def _words_by_count(words: DataFrame) -> DataFrame:
+    """n, number of words that occur n times (``COUNTED`` and over: one row), their sum."""
+
+    def each(slices: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        for part in slices:
+            for b in part["counts"]:
+                counts = unpack(b)
+                n, at = np.unique(np.minimum(counts, COUNTED), return_inverse=True)
+                yield {
+                    "n": n, "kinds": np.bincount(at, counts > 0).astype(np.int64),
+                    "total": np.bincount(at, counts).astype(np.int64),
+                }
+
+    found = scan(words.select("counts"), each, "n long, kinds long, total long")
+    return found.groupBy("n").agg(F.sum("kinds"), F.sum("total"))
+
+
 @dataclass
 class Vocabulary:
     """The most frequent words, by hash, and the totals of all words."""
@@ -148,22 +168,34 @@ class Vocabulary:
 
     @classmethod
     def of(cls, words: DataFrame, most: int) -> Vocabulary:
+        """About ``most`` words: all that are more frequent than some count, and of those
+        that have this count the ones of low hash, as many as there is room for."""
+        totals, by_count = [0, 0], {}
+        for n, kinds, total in _words_by_count(words).collect():
+            totals[0] += total
+            totals[1] += kinds
+            by_count[n] = by_count.get(n, 0) + kinds
+        room, least, low = most, 0, 0.0
+        for n in sorted(by_count, reverse=True):
+            least, low = n, min(1.0, room / by_count[n])
+            room -= by_count[n]
+            if room <= 0:
+                break
+        limit = min(int(low * (1 << 63)), (1 << 63) - 1)
+
         def leading(slices: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
             for part in slices:
                 for a, b in zip(part["keys"], part["counts"]):
                     keys, counts = unpack_sorted(a), unpack(b)
-                    yield {"hash": [-1, -2], "n": [int(counts.sum()), int((counts > 0).sum())]}
-                    counts = np.where(keys == END >> 1, 0, counts)
-                    top = np.lexsort((keys, -counts))[:most]
-                    yield {"hash": keys[top], "n": counts[top]}
-
-        found = scan(words.select("keys", "counts"), leading, "hash long, n long")
-        sums = dict(map(tuple, found.filter("hash < 0").groupBy("hash").agg(F.sum("n")).collect()))
-        top = found.filter("hash >= 0 AND n > 0").orderBy(F.desc("n"), "hash").limit(most).collect()
-        rows = sorted((row["hash"], row["n"]) for row in top)
+                    own = (counts > least) | ((counts == least) & (keys < limit))
+                    own &= (counts > 0) & (keys != END >> 1)
+                    yield {"hash": keys[own], "n": counts[own]}
+
+        found = scan(words.select("keys", "counts"), leading, "hash long, n long").collect()
+        rows = sorted((row["hash"], row["n"]) for row in found)
         return cls(
             np.array([h for h, _ in rows], np.int64), np.array([n for _, n in rows], np.int64),
-            sums.get(-1, 0), sums.get(-2, 0),
+            totals[0], totals[1],
         )
 
     def base(self, counts: np.ndarray) -> np.ndarray:
