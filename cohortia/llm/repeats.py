@@ -24,7 +24,7 @@ from cohortia.llm.common import parts_for, scan, stage
 
 LENGTH = 400  # bytes of a string that must not repeat
 GRAM = 32  # bytes of a gram, a power of two
-BLOCK = 2_000_000  # bytes that are indexed together
+BLOCK = 1_000_000  # bytes that are indexed together
 _TABLE = np.random.default_rng(400).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
