@@ -34,6 +34,7 @@ CLASSES = 500_000  # that a task remembers
 TOGETHER = 1_500_000  # shingles of a block of a cluster
 NARROWEST, WIDEST = 16, 4096  # counts of shingles by hash that bound an overlap
 LONG = 20_000  # members of a list that are compared; longer lists are chains
+PARTS = 1 << 14  # of the lists of a document, whatever the corpus
 SKIP = 0.01  # the weight of long lists against short ones
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -134,11 +135,11 @@ def width_of(n: int, percent: int) -> int:
     return width
 
 
-def short_lists(docs: DataFrame, levels: np.ndarray, *, words: int, percent: int, parts: int) -> DataFrame:
+def short_lists(docs: DataFrame, levels: np.ndarray, *, words: int, percent: int) -> DataFrame:
     """part, width, c, n, guest, cells and shingles: where the short lists of a document go.
 
-    A row for each part (by hash of the list) and width with the document's shingles
-    there.  Lists are kept apart by the width of the cells, a byte each, that their
+    A row for each part (lists by hash, ``PARTS`` of them) and width with the document's
+    shingles there, so that a long document repeats its cells less.  Lists are kept apart by the width of the cells, a byte each, that their
     documents need; a document that may link with a narrower one is a guest there.  Of
     the documents of a class a task shows one.
     """
@@ -161,7 +162,7 @@ def short_lists(docs: DataFrame, levels: np.ndarray, *, words: int, percent: int
                 rank = levels[(own >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64)
                 order = np.argsort(rank << np.uint64(56) | own >> np.uint64(8))
                 short = own[order[:n - _needed(n, percent) + 1]]
-                to = (short % np.uint64(parts)).astype(np.int64)
+                to = (short % np.uint64(PARTS)).astype(np.int64)
                 short, to = short[np.argsort(to)].view(np.int64), np.sort(to)
                 edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
                 pieces = np.split(short, edges[1:])
@@ -380,8 +381,8 @@ def candidate_links(docs: DataFrame, levels: np.ndarray, *, words: int = WORDS,
     components of what it has read.
     """
     parts = parts_for(docs.sparkSession)
-    dealt = short_lists(docs, levels, words=words, percent=percent, parts=parts).repartitionById(
-        parts, F.col("part"))
+    dealt = short_lists(docs, levels, words=words, percent=percent).repartitionById(
+        parts, F.col("part") % parts)
     lists = (
         dealt.select("width", "c", "n", "guest", "cells", F.explode("shingles").alias("shingle"))
         .withColumn("key", F.xxhash64("shingle", "width"))

@@ -78,8 +78,8 @@ def test_short_lists_are_the_rarest(spark):
     assert levels.size == 256
     for own in (levels, np.zeros(256, np.uint8)):
         home = {}
-        for r in jaccard.short_lists(frame, own, words=3, percent=90, parts=5).filter("NOT guest").collect():
-            assert all((x % (1 << 64)) % 5 == r["part"] for x in r["shingles"]) and len(r["cells"]) == r["width"]
+        for r in jaccard.short_lists(frame, own, words=3, percent=90).filter("NOT guest").collect():
+            assert all((x % (1 << 64)) % jaccard.PARTS == r["part"] for x in r["shingles"]) and len(r["cells"]) == r["width"]
             home.setdefault(r["c"], (r["n"], []))[1].extend(r["shingles"])
         assert home.keys() == {r["c"] for r in docs.values()}
         for n, shown in home.values():
