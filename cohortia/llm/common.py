@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-SLICE = 512  # rows of an Arrow batch that are Python objects at one time
+BATCH = "512"  # rows of an Arrow batch of texts, where the session has Spark's default
+SLICE = 256  # rows of an Arrow batch that are Python objects at one time
 
 
 _own_roots: dict[str, str] = {}
@@ -49,7 +50,10 @@ def importable(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it.
 
     On a cluster it is installed on every node; there the path is one more that is empty.
+    Texts are long: batches of Spark's default number of rows would hold too much memory.
     """
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH)
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         paths = [path for path in paths if path] + [ROOT]
@@ -86,6 +90,7 @@ def scan(
 
         for out in each(slices()):
             yield pa.RecordBatch.from_pydict(out, schema=out_schema)
+        pa.default_memory_pool().release_unused()  # workers live on, their tasks' memory not
 
     return df.mapInArrow(run, schema)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from cohortia.llm.common import scan
 
 MARK = "▁"
-WORDS_KEPT = 250_000  # distinct words of a table; then the words met before go
+WORDS_KEPT = 60_000  # distinct words of a table; then the words met before go
 PROBE = "ﬁ Ⅷ  a b\tc\r\n　d "
 
 
