@@ -98,3 +98,20 @@ def test_awkward_rows(spark):
     assert scored(samples.empty(spark)).count() == 0
     untaught = lm.scores(docs.select("doc_id", F.lit(True).alias("held"), "text")).collect()
     assert {r["train_tokens"] for r in untaught} == {0} and {r["n_known"] for r in untaught} == {0}
+
+
+def test_pairs_of_all_words_are_learnt(spark):
+    """However few words are named: the pairs of the others are counted as well."""
+    frame = samples.docs(spark, samples.prose(3, 200, words=900)).repartition(3)
+    by_id = [{r["doc_id"]: r["score"] for r in scored(frame, vocabulary=n).collect()} for n in (2, 5_000)]
+    assert by_id[0] == by_id[1]
+
+
+def test_restaurants_in_parts(spark, monkeypatch):
+    """Contexts dealt over the buckets: the same customers, other draws."""
+    frame = samples.docs(spark, samples.prose(5, 400, words=30)).repartition(3)
+    whole = {r["doc_id"]: r["score"] for r in scored(frame).collect()}
+    monkeypatch.setattr(lm, "DEALT", 50)
+    parts = {r["doc_id"]: r["score"] for r in scored(frame).collect()}
+    assert whole != parts
+    assert sum(parts.values()) == pytest.approx(sum(whole.values()), rel=0.01)
