@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortia.llm import (
-    jaccard, language, lattice, lm, merkle, mixing, pieces, quality, repeats, secrets,
+    hilbert, jaccard, language, lattice, lm, merkle, mixing, negatives, pieces, quality, repeats,
+    secrets, whitening,
 )
 from cohortia.llm.common import held_out
 
@@ -89,11 +90,30 @@ def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scores(docs.select("doc_id", held_out(F.col("doc_id"), 10).alias("held"), "text"))
 
 
+def op11_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.place(_table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve",
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label")
+    rows = _table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(_table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_language_id, op2_lattice, op3_secrets, op4_jaccard, op5_mixing, op6_fingerprints,
-        op7_quality, op8_repeats, op9_pieces, op10_pitman_yor,
+        op7_quality, op8_repeats, op9_pieces, op10_pitman_yor, op11_hilbert_shards,
+        op12_hard_negatives, op13_whitening,
     )
 }
 #: All pairs, and what links reach by recursion: for tables that are small.
@@ -132,4 +152,24 @@ link AS (
 {_REACHED},
 root AS (SELECT a AS id, min(b) AS component_id FROM reached GROUP BY a)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM shingled JOIN root ON id = doc_id""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+    list_inner_product(a.e, r.e)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id),
+positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+  n.id AS negative_id, positive_score, n.score AS negative_score
+FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * positive_score <= 100 * n.score AND 100 * n.score <= 95 * positive_score
+QUALIFY rank <= 3""",
 }
