@@ -17,58 +17,68 @@ BEFORE = "LearnActivityBerforeChallenge"
 PROFILE_NAMES = {"Share": "KnowledgeShare"}
 
 
-def _ended(events: DataFrame, type_: str, status: str) -> DataFrame:
-    return (
-        rel.event_scan(events, [type_])
-        .select(
-            "OpenId",
-            F.col("ExtraInfo1").alias("ChallengeId"),
-            F.lit(status).alias("Status"),
-            F.col("Timestamp").alias("DateTimeEnded"),
-        )
-        .distinct()
+_KEYS = ["OpenId", "ChallengeId"]
+_LAST = {"last": "max"}
+
+
+def _matched(events: DataFrame) -> DataFrame:
+    """Assignments and ends of challenges from one scan of the log; an end has in
+    ``last`` the assignment with the largest id among those strictly earlier."""
+    status = F.when(F.col("EventType") == taxonomy.CHALLENGE_EXPIRED, "Expired").when(
+        F.col("EventType") == taxonomy.CHALLENGE_COMPLETED, "Completed")
+    at = F.col("Timestamp")
+    rows = rel.event_scan(
+        events,
+        [taxonomy.CHALLENGE_ASSIGNED, taxonomy.CHALLENGE_EXPIRED, taxonomy.CHALLENGE_COMPLETED],
+    ).select(
+        "OpenId", F.col("ExtraInfo1").alias("ChallengeId"), at.alias("at"),
+        F.when(
+            status.isNotNull(), F.struct(F.lit(False).alias("closed"), status.alias("Status"))
+        ).alias("_row"),
+        F.when(status.isNull(), F.struct(F.col("ChangedId").alias("id"), at.alias("time"))).alias("last"),
     )
+    dealt = rel.slot_rows(rows, _KEYS, _LAST)
+    return rel.slot_totals(dealt, _KEYS, _LAST, events=True).select(
+        *[F.col(f"_slot.{k}").alias(k) for k in _KEYS], "at", "_row", "_own_last", "last")
 
 
-def _assigned(events: DataFrame) -> DataFrame:
-    return rel.event_scan(events, [taxonomy.CHALLENGE_ASSIGNED]).select(
-        "ChangedId", "OpenId", F.col("ExtraInfo1").alias("ChallengeId"),
-        F.col("Timestamp").alias("TimeChallengeAssigned"),
+def _ends(matched: DataFrame) -> DataFrame:
+    return matched.where(F.col("_row").isNotNull()).select(
+        *_KEYS, F.col("_row.Status").alias("Status"),
+        F.col("last.time").alias("TimeChallengeAssigned"), F.col("at").alias("DateTimeEnded"),
+        F.col("last.id").alias("LastChallengeEventChangedId"),
     )
 
 
 def challenge_ends(events: DataFrame) -> DataFrame:
     """Expired and completed challenges with the assignment they belong to:
     the one with the largest event id among those strictly earlier in time."""
-    ends = _ended(events, taxonomy.CHALLENGE_EXPIRED, "Expired").unionByName(
-        _ended(events, taxonomy.CHALLENGE_COMPLETED, "Completed")
-    )
-    return rel.latest_before(
-        ends.withColumnRenamed("DateTimeEnded", "at"),
-        _assigned(events).withColumnRenamed("TimeChallengeAssigned", "at"),
-        ["OpenId", "ChallengeId"], "ChangedId",
-    ).select(
-        "OpenId", "ChallengeId", "Status", F.col("found_at").alias("TimeChallengeAssigned"),
-        F.col("at").alias("DateTimeEnded"),
-        F.col("ChangedId").alias("LastChallengeEventChangedId"),
-    )
+    return _ends(_matched(events)).distinct()
 
 
 def challenge_progress(events: DataFrame) -> DataFrame:
     """Ended challenges plus assignments that no end refers to.
 
-    Event ids must be unique.
+    Event ids must be unique.  The log is scanned once: assignments that ends
+    refer to are found from the same dealt rows as the ends.
     """
-    ends = challenge_ends(events)
-    used = ends.select(F.col("LastChallengeEventChangedId").alias("ChangedId")).distinct()
-    current = (
-        _assigned(events)
-        .join(used, "ChangedId", "left_anti")
-        .select("OpenId", "ChallengeId", "TimeChallengeAssigned")
+    matched = _matched(events)
+    used = _ends(matched).select(
+        F.col("LastChallengeEventChangedId").cast("string").alias("_used")
+    ).where(F.col("_used").isNotNull()).distinct()
+    ended = F.col("_row").isNotNull()
+    rows = matched.withColumn("_assignment", F.col("_own_last.id").cast("string"))
+    return (
+        rel.left_join_sparse_key(rows, used, "_assignment", "_used", [*_KEYS, "at"])
+        .where(ended | F.col("_used").isNull())
+        .select(
+            *_KEYS, F.coalesce("_row.Status", F.lit("Currently Active")).alias("Status"),
+            F.when(ended, F.col("last.time")).otherwise(F.col("at")).alias("TimeChallengeAssigned"),
+            F.when(ended, F.col("at")).alias("DateTimeEnded"),
+            F.when(ended, F.col("last.id")).alias("LastChallengeEventChangedId"),
+        )
         .distinct()
-        .withColumn("Status", F.lit("Currently Active"))
     )
-    return ends.unionByName(current, allowMissingColumns=True)
 
 
 def challenge_progress_output(

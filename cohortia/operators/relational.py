@@ -217,6 +217,77 @@ def semi_join_spread(rows: DataFrame, known: DataFrame, key: str, spread: str) -
 # --- time lookups --------------------------------------------------------------
 
 
+COMBINE = {"sum": F.sum, "max": F.max}
+
+
+def slot_rows(rows: DataFrame, keys: Sequence[str], measures: Iterable[str]) -> DataFrame:
+    """Events and probes, dealt once by key and hour of the log.
+
+    ``rows`` has ``keys``, ``at``, ``_row`` (NULL for an event, a struct with
+    ``closed`` for a probe) and the measures of events.  What reads the result
+    reads the same exchange, so its input is computed once: all columns are
+    needed by every reader in this module, and the key is a struct, which is
+    never NULL itself, so no reader pushes a filter of its own below.
+    """
+    slot = F.struct(*keys, F.to_date("at").alias("_day"), F.hour("at").alias("_hour"))
+    return rows.select(slot.alias("_slot"), "at", "_row", *measures).repartition("_slot")
+
+
+def slot_totals(
+    dealt: DataFrame, keys: Sequence[str], measures: Mapping[str, str], *, events: bool = False
+) -> DataFrame:
+    """Each probe of ``slot_rows`` with the measures over the earlier events.
+
+    Rows have ``_slot``, ``at``, ``_row``, ``_own_<measure>`` and the totals:
+    sums default to 0, maxima to NULL, as for a NULL in a key or in ``at``.
+    With ``events`` they come back too, with totals up to themselves.
+
+    A running window covers one (keys, hour) group at a time.  The totals of
+    earlier hours come from a second window over one row per hour of the log,
+    made from the same dealt rows.  No window spans all rows of a key.
+    """
+    probe = F.col("_row").isNotNull()
+    order = F.when(~probe, 1).when(F.col("_row.closed"), 2).otherwise(0)
+    up_to = Window.unboundedPreceding, Window.currentRow
+    within = Window.partitionBy("_slot").orderBy("at", order).rowsBetween(*up_to)
+    inside = dealt.select(
+        "_slot", "at", "_row", *[F.col(n).alias(f"_own_{n}") for n in measures],
+        *[COMBINE[h](n).over(within).alias(n) for n, h in measures.items()],
+    )
+    if not events:
+        inside = inside.where(probe)
+    before = (
+        Window.partitionBy(*[f"_slot.{k}" for k in keys])
+        .orderBy("_slot._day", "_slot._hour")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # only hours in which something asks have to be met again
+    asked = F.max(F.when(probe, F.col("at"))).alias("_asked")
+    earlier = (
+        dealt.groupBy("_slot")
+        .agg(*[COMBINE[h](n).alias(n) for n, h in measures.items()], asked)
+        .select(
+            "_slot", "_asked",
+            *[COMBINE[h](n).over(before).alias(f"_e{n}") for n, h in measures.items()],
+        )
+        .where(F.col("_asked").isNotNull())
+    )
+    known = F.col("at").isNotNull()
+    for k in keys:
+        known = known & F.col(f"_slot.{k}").isNotNull()
+
+    def total(name: str, how: str) -> Column:
+        here, past = F.col(name), F.col(f"_e{name}")
+        if how == "max":
+            return F.when(known, F.greatest(here, past))
+        return F.when(known, F.coalesce(here, F.lit(0)) + F.coalesce(past, F.lit(0))).otherwise(0)
+
+    return inside.join(earlier, "_slot", "left").select(
+        "_slot", "at", "_row", *[f"_own_{n}" for n in measures],
+        *[total(n, h).alias(n) for n, h in measures.items()],
+    )
+
+
 def prefix_totals(
     probes: DataFrame,
     events: DataFrame,
@@ -232,71 +303,21 @@ def prefix_totals(
     ``closed``): sums default to 0, maxima to NULL.  A NULL in a key or in
     ``at`` matches nothing.
 
-    The work is linear in the input.  Events are combined per (keys, instant)
-    first; a running window then covers one (keys, hour) group at a time; and
-    the totals of earlier hours are added from a second window over at most one
-    row per hour of the log.  No window spans all rows of a key.
+    The work is linear in the input: events are combined per (keys, instant)
+    before they move, and both sides move once (:func:`slot_totals`).
     """
-    combine = {"sum": F.sum, "max": F.max}
     keys = list(keys)
     present = F.col("at").isNotNull()
     for k in keys:
         present = present & F.col(k).isNotNull()
-
-    def combined(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-        return rows.groupBy(*by).agg(*[combine[h](n).alias(n) for n, h in measures.items()])
-
-    carried_along = [c for c in probes.columns if c not in {*keys, "at", "closed"}]
-    instants = combined(events.where(present), [*keys, "at"]).withColumn("_order", F.lit(1))
-    asked = probes.select(
-        *keys, "at", F.when(F.col("closed"), 2).otherwise(0).alias("_order"),
-        F.struct(F.lit(True).alias("_probe"), *carried_along).alias("_row"),
-    )
-    slot = [*keys, "_day", "_hour"]
-    hours = [F.to_date("at").alias("_day"), F.hour("at").alias("_hour")]
-    within = (
-        Window.partitionBy(*slot)
-        .orderBy("at", "_order")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    inside = (
-        instants.unionByName(asked, allowMissingColumns=True)
-        .select("*", *hours)
-        .select(
-            *slot, "at", "_order", "_row",
-            *[combine[h](n).over(within).alias(n) for n, h in measures.items()],
-        )
-        .where(F.col("_order") != 1)
-    )
-
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy("_day", "_hour")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    slots = instants.select(*keys, "at", *measures).unionByName(
-        asked.select(*keys, "at"), allowMissingColumns=True
-    )
-    earlier = combined(slots.select(*keys, *hours, *measures), slot).select(
-        *[F.col(c).alias(f"_s{c}") for c in slot],
-        *[combine[h](n).over(before).alias(f"_e{n}") for n, h in measures.items()],
-    )
-    same_slot = F.lit(True)
-    for c in slot:
-        same_slot = same_slot & (F.col(c) == F.col(f"_s{c}"))
-
-    def total(name: str, how: str) -> Column:
-        here, past = F.col(name), F.col(f"_e{name}")
-        if how == "max":
-            return F.greatest(here, past)
-        return F.coalesce(here, F.lit(0)) + F.coalesce(past, F.lit(0))
-
-    # Plain equality keeps the partitioning of the window; probes without a key
-    # find no slot and stay with what their own (event-free) slot gave.
-    return inside.join(earlier, same_slot, "left").select(
-        *keys, "at", (F.col("_order") == 2).alias("closed"),
-        *[F.col(f"_row.{c}").alias(c) for c in carried_along],
-        *[total(n, h).alias(n) for n, h in measures.items()],
+    carried = [c for c in probes.columns if c not in {*keys, "at", "closed"}]
+    instants = events.where(present).groupBy(*keys, "at").agg(
+        *[COMBINE[h](n).alias(n) for n, h in measures.items()])
+    asked = probes.select(*keys, "at", F.struct("closed", *carried).alias("_row"))
+    dealt = slot_rows(instants.unionByName(asked, allowMissingColumns=True), keys, measures)
+    return slot_totals(dealt, keys, measures).select(
+        *[F.col(f"_slot.{k}").alias(k) for k in keys], "at",
+        *[F.col(f"_row.{c}").alias(c) for c in ("closed", *carried)], *measures,
     )
 
 

@@ -84,3 +84,18 @@ def test_new_users_compute_their_inputs_once(no_broadcast):
     text = plan(REGISTRY["m16_new_users"].spark(no_broadcast, SF))
     assert text.count("LeftAnti") == 0
     assert text.count("customer.parquet") <= 3
+
+
+def log_scans(frame):
+    """Scans of the log that a query really ran, reused exchanges left out."""
+    frame.collect()
+    final = plan(frame).split("== Initial Plan ==")[0]
+    return sum("FileScan" in line and "events.parquet" in line for line in final.splitlines())
+
+
+def test_challenge_reports_scan_the_log_once_for_each_family(no_broadcast):
+    # assignments and ends together; with activity, its events; users' first events
+    assert log_scans(REGISTRY["m34_challenge_progress"].spark(no_broadcast, SF)) == 1
+    users = log_scans(Tables(no_broadcast, SF).user_current())
+    assert log_scans(REGISTRY["m35_challenge_progress_output"].spark(no_broadcast, SF)) == 1 + users
+    assert log_scans(REGISTRY["m36_challenge_activity"].spark(no_broadcast, SF)) == 2 + users

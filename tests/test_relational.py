@@ -112,9 +112,9 @@ def test_hour_slots_bound_every_running_window(spark):
     )
     probes = events.select("user", "at", F.lit(True).alias("closed"))
     plan = rel.prefix_totals(probes, events, ["user"], {"v": "sum"})._jdf.queryExecution().optimizedPlan().toString()
-    assert "windowspecdefinition(user" in plan
-    running = [w for w in plan.split("windowspecdefinition")[1:] if "currentrow" in w]
-    assert running and all("_day" in w.split(" ASC")[0] and "_hour" in w.split(" ASC")[0] for w in running)
+    windows = [w.split(" ASC")[0] for w in plan.split("windowspecdefinition(")[1:] if "currentrow" in w]
+    assert windows and all(w.startswith("_slot#") and "_slot#" not in w.split(",")[1] for w in windows)
+    assert "_day, " in plan.split("AS _slot")[0] and "_hour, " in plan.split("AS _slot")[0]
 
 
 def test_sparse_key_join_is_exact(spark):
