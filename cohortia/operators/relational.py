@@ -214,6 +214,28 @@ def semi_join_spread(rows: DataFrame, known: DataFrame, key: str, spread: str) -
     return salted.join(listed, [key, "_salt"], "left_semi").drop("_salt")
 
 
+# --- one input, several readers ----------------------------------------------------
+
+
+_READ = "_read"
+
+
+def read_together(rows: DataFrame) -> DataFrame:
+    """Let several readers (:func:`part_of`) of ``rows`` share its last exchange.
+
+    Spark computes an exchange once where its copies are equal, but the optimizer would
+    first push each reader's filter and choice of columns below it.  The mark needs all
+    columns, and as it depends on the task no filter passes it, so the copies stay equal.
+    """
+    here = F.spark_partition_id() >= 0
+    return rows.withColumn(_READ, F.when(here, F.xxhash64(*rows.columns)))
+
+
+def part_of(shared: DataFrame, condition: Column) -> DataFrame:
+    """The rows of :func:`read_together` for which ``condition`` holds."""
+    return shared.where(condition & F.col(_READ).isNotNull()).drop(_READ)
+
+
 # --- time lookups --------------------------------------------------------------
 
 

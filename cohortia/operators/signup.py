@@ -91,12 +91,95 @@ def _completed(events: DataFrame) -> DataFrame:
     )
 
 
-def _emails(events: DataFrame) -> DataFrame:
-    return rel.event_scan(events, [taxonomy.EMAIL_SENT]).select(
-        F.col("ExtraInfo1").alias("EmailHash")
+def signup_facts(
+    events: DataFrame, *, internal: str, families: Sequence[str],
+    step_flags: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Visits, starts, completions, mails and steps of signups from one scan of the log.
+
+    ``families`` are the event types wanted.  One typed aggregation combines each family
+    by what it is joined on, map-side: visits by cookie, group and experiment, starts by
+    cookie and hash, completions by hash and user, mails and steps by hash.  Read the
+    families with ``relational.part_of``.
+    """
+    type_, text3 = F.col("EventType"), F.col("ExtraInfo3")
+
+    def of(*types: str) -> Column:
+        return rel.one_of("EventType", types)
+
+    def when(family: str, value: Column) -> Column:
+        return F.when(type_ == family, value)
+
+    visit, start = taxonomy.FORM_VISIT, taxonomy.SIGNUP_STARTED
+    done, mail, step = taxonomy.SIGNUP_COMPLETED, taxonomy.EMAIL_SENT, taxonomy.SIGNUP_STEP
+    wanted = (
+        (type_ == visit) & text.not_blank(text3)
+        | (type_ == start) & text.lacks(F.col("ExtraInfo2"), internal)
+        | of(done, mail)
+        | (type_ == step) & F.col("ExtraInfo1").isNotNull()
+    )
+    fields = payload.json_fields(when(start, text3), _STARTED_FIELDS)
+    flags = step_flags or {}
+    rows = (
+        rel.event_scan(events, families)
+        .where(wanted)
+        .select(
+            "EventType", "OpenId", "Timestamp", "ExtraInfo1", "ExtraInfo2", "ExtraInfo3",
+            F.explode_outer(payload.open_json(when(visit, text3), _VISIT_PAYLOAD)).alias("J"),
+        )
+        .where((type_ != visit) | F.col("J").isNotNull())
+        .select(
+            type_.alias("Family"),
+            when(visit, F.col("ExtraInfo1")).otherwise(fields["CookieID"]).alias("CookieId"),
+            F.when(of(start, mail, step), F.col("ExtraInfo1")).when(type_ == done, text3).alias("Hash"),
+            when(done, F.col("OpenId")).alias("OpenId"),
+            payload.scalar_text(F.col("J.GroupName")).alias("GroupName"),
+            payload.scalar_text(F.col("J.Experiment.ID")).alias("ExperimentId"),
+            "Timestamp",
+            when(start, F.col("ExtraInfo2")).alias("Email"),
+            *[fields[n].alias(n) for n in _SIGNUP_FIELDS],
+            *[when(step, rel.flag(F.col("ExtraInfo2") == page)).alias(n) for n, page in flags.items()],
+        )
+    )
+    facts = rows.groupBy(*_FACT_KEYS).agg(
+        F.count(F.lit(1)).alias("Times"), F.min("Timestamp").alias("First"),
+        F.count("Brand").alias("Brands"),
+        *[F.max(c).alias(c) for c in ("Email", *_SIGNUP_FIELDS, *flags)],
+    )
+    return rel.read_together(facts)
+
+
+_FACT_KEYS = ["Family", "CookieId", "Hash", "OpenId", "GroupName", "ExperimentId"]
+_SIGNUP_FIELDS = [n for n in _STARTED_FIELDS if n not in ("CookieID", "IpAddress")]
+
+
+def _family(facts: DataFrame, family: str) -> DataFrame:
+    return rel.part_of(facts, F.col("Family") == family)
+
+
+def _signups_of(facts: DataFrame) -> DataFrame:
+    """:func:`unique_signups` from facts."""
+    return (
+        _family(facts, taxonomy.SIGNUP_STARTED)
+        .groupBy("CookieId")
+        .agg(
+            *[F.max(c).alias(c) for c in (*_SIGNUP_FIELDS, "Email")],
+            F.max("Hash").alias("ConfirmationHash"),
+            F.sum("Brands").alias("NumberOfSignups"),
+            F.to_date(F.min("First")).alias("SignupDateStarted"),
+        )
     )
 
 
+def _progress_of(facts: DataFrame, signups: DataFrame) -> DataFrame:
+    """Signups with the completions and mails of the facts."""
+    completed = _family(facts, taxonomy.SIGNUP_COMPLETED).select(
+        "OpenId", F.col("Hash").alias("CompletedHash"), F.col("Times").alias("_completions"))
+    emails = _family(facts, taxonomy.EMAIL_SENT).select(
+        F.col("Hash").alias("EmailHash"), F.col("Times").alias("_mails"))
+    return _with_progress(signups, completed, emails)
+
+
 def _with_progress(signups: DataFrame, completed: DataFrame, emails: DataFrame) -> DataFrame:
     """Attach completion and confirmation mail to signups, by hash.
 
@@ -148,24 +231,23 @@ def signup_funnel_by_visit(
     statistics over the older forms should use it as their weight.  Without it the
     repetitions unfold after all joins.
     """
-    visits = _visits(events).groupBy(
-        F.col("CookieId"),
+    facts = signup_facts(
+        events, internal=internal,
+        families=[taxonomy.FORM_VISIT, taxonomy.SIGNUP_STARTED, taxonomy.SIGNUP_COMPLETED,
+                  taxonomy.EMAIL_SENT],
+    )
+    visits = _family(facts, taxonomy.FORM_VISIT).select(
+        "CookieId",
         F.col("GroupName").alias("ExperimentGroup"),
         F.col("ExperimentId").alias("Experiment"),
-    ).agg(
-        F.to_date(F.min("Timestamp")).alias("FirstSignupPageVisit"),
-        F.count("CookieId").alias("CountSignupPageVisits"),
+        F.to_date("First").alias("FirstSignupPageVisit"),
+        F.when(F.col("CookieId").isNull(), 0).otherwise(F.col("Times")).alias("CountSignupPageVisits"),
     )
     if cap_visits:
         visits = visits.withColumn(
             "CountSignupPageVisits", rel.flag(F.col("CountSignupPageVisits") > 0)
         )
-    completed = rel.counted(_completed(events), "_completions")
-    emails = rel.counted(_emails(events), "_mails")
-    signups = unique_signups(events, internal=internal).withColumnRenamed(
-        "CookieId", "SignupCookie"
-    )
-    progress = _with_progress(signups, completed, emails)
+    progress = _progress_of(facts, _signups_of(facts).withColumnRenamed("CookieId", "SignupCookie"))
     started = F.coalesce("SignupStarted", F.lit(0))
     mailed = F.coalesce("EmailSuccessfulSent", F.lit(0))
     count = F.lit(1) if dedupe else _repetitions()
@@ -300,24 +382,14 @@ def signup_step_funnel(
     ``step_flags`` maps output column to page name; a flag is NULL when the
     signup has no step event at all.
     """
-    signups = unique_signups(events, internal=internal).select(
-        "CookieId", "SignupDateStarted", "ConfirmationHash", "Email"
-    )
-    steps = (
-        rel.event_scan(events, [taxonomy.SIGNUP_STEP])
-        .where(F.col("ExtraInfo1").isNotNull())
-        .groupBy(F.col("ExtraInfo1").alias("StepHash"))
-        .agg(
-            *[
-                F.max(rel.flag(F.col("ExtraInfo2") == page)).alias(name)
-                for name, page in step_flags.items()
-            ]
-        )
-    )
-    progress = _with_progress(
-        signups, rel.counted(_completed(events), "_completions"),
-        rel.counted(_emails(events), "_mails"),
-    )
+    facts = signup_facts(
+        events, internal=internal, step_flags=step_flags,
+        families=[taxonomy.SIGNUP_STARTED, taxonomy.SIGNUP_COMPLETED, taxonomy.EMAIL_SENT,
+                  taxonomy.SIGNUP_STEP],
+    )
+    signups = _signups_of(facts).select("CookieId", "SignupDateStarted", "ConfirmationHash", "Email")
+    steps = _family(facts, taxonomy.SIGNUP_STEP).select(F.col("Hash").alias("StepHash"), *step_flags)
+    progress = _progress_of(facts, signups)
     rows = progress.join(
         steps, F.col("ConfirmationHash") == F.col("StepHash"), "left"
     ).select(

@@ -96,6 +96,21 @@ def log_scans(frame):
 def test_challenge_reports_scan_the_log_once_for_each_family(no_broadcast):
     # assignments and ends together; with activity, its events; users' first events
     assert log_scans(REGISTRY["m34_challenge_progress"].spark(no_broadcast, SF)) == 1
-    users = log_scans(Tables(no_broadcast, SF).user_current())
-    assert log_scans(REGISTRY["m35_challenge_progress_output"].spark(no_broadcast, SF)) == 1 + users
-    assert log_scans(REGISTRY["m36_challenge_activity"].spark(no_broadcast, SF)) == 2 + users
+    assert log_scans(REGISTRY["m35_challenge_progress_output"].spark(no_broadcast, SF)) <= 2
+    assert log_scans(REGISTRY["m36_challenge_activity"].spark(no_broadcast, SF)) <= 3
+
+
+@pytest.mark.parametrize("name", ["m08_signup_funnel", "m12_signup_step_funnel"])
+def test_signup_funnels_scan_the_log_once(no_broadcast, name):
+    assert log_scans(REGISTRY[name].spark(no_broadcast, SF)) == 1
+
+
+def test_readers_share_an_exchange_and_see_their_rows(no_broadcast, make):
+    events = make.events([(f"u{i % 7}", "ab"[i % 2], "2018-01-01") for i in range(40)])
+    shared = rel.read_together(events.groupBy("OpenId", "EventType").count())
+    a = rel.part_of(shared, rel.one_of("EventType", ["a"])).select("OpenId", "count")
+    b = rel.part_of(shared, rel.one_of("EventType", ["b"])).select("OpenId", "EventType")
+    both = a.join(b, "OpenId")
+    found = {r.OpenId: r["count"] for r in both.collect()}
+    assert found == {f"u{k}": sum(i % 7 == k and i % 2 == 0 for i in range(40)) for k in range(7)}
+    assert "ReusedExchange" in plan(both).split("== Initial Plan ==")[0]
