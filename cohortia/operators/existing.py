@@ -17,29 +17,15 @@ from cohortia.functions import dates, text
 from cohortia.operators import relational as rel
 
 
-def monthly_existing_users(
-    users_month: DataFrame,
-    users: DataFrame,
-    events: DataFrame,
-    *,
-    types: Iterable[str],
-    internal: str,
-) -> DataFrame:
-    """Active external user-months with next-month activity.
-
-    ``ExistingUser`` is 1 when the last active day lies more than 30 days after
-    signup; ``DaysActiveInSecondMonth`` counts distinct active days from 30 to
-    60 days after it.  ``LastActiveDateBeforeMonth`` is the latest active day
-    on or after signup in any earlier month - of all months of the user, also
-    inactive ones - found by a running maximum instead of a self-join.
-    """
+def _user_months(users_month: DataFrame, users: DataFrame, internal: str) -> DataFrame:
+    """Months of known users, one row for what is told apart, with the signup."""
     counted = (F.col("ActiveMonth") == "Active") & text.lacks(F.col("CompanyId"), internal)
     signup = users.select(
         F.col("OpenId").alias("UserId"), F.col("OldSignupDate").alias("SignupDate")
     )
     # The join comes first: its partitioning on the user serves the grouping, the
     # window and the join with days, and a monthly fact hardly shrinks map-side.
-    months = (
+    return (
         users_month.where(text.not_blank(F.col("UserId")))
         .join(signup, "UserId", "left")
         .groupBy(
@@ -49,17 +35,20 @@ def monthly_existing_users(
         )
         .agg(F.max(rel.flag(F.col("UserTypeMonth") == "Developer")).alias("IsDeveloper"))
     )
-    since_signup = F.when(
+
+
+def _since_signup() -> Column:
+    return F.when(
         F.col("LastActiveDateInMonth") >= F.col("SignupDate"), F.col("LastActiveDateInMonth")
     )
-    earlier = (
-        Window.partitionBy("UserId", "SignupDate")
-        .orderBy(dates.month_index(F.col("MonthYear")))
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
+
+
+def _with_second_month(
+    months: DataFrame, events: DataFrame, types: Iterable[str]
+) -> DataFrame:
+    """Counted months, which know ``LastActiveDateBeforeMonth``, with later activity."""
     spans = (
-        months.withColumn("LastActiveDateBeforeMonth", F.max(since_signup).over(earlier))
-        .where("_counted")
+        months.where("_counted")
         .select(
             "UserId", "MonthYear",
             F.date_add("LastActiveDateInMonth", 30).alias("LowerBoundary"),
@@ -69,33 +58,127 @@ def monthly_existing_users(
         )
         .distinct()
     )
-    days = rel.active_days(events, types).select(
-        F.col("OpenId").alias("DayUser"), "YearMonthDay",
-        F.trunc("YearMonthDay", "MM").alias("DayMonth"),
-    )
-    # A span touches two or three months.  It meets the days of those months only, and
-    # months share no day, so their counts add up.
+    active = rel.active_months(events, types).withColumnRenamed("OpenId", "DayUser")
+    # A span touches two or three months and meets the bitmaps of those only.
     touched = spans.withColumn("SpanMonth", F.explode_outer(F.expr(
         "sequence(trunc(LowerBoundary, 'MM'), trunc(UpperBoundary, 'MM'), interval 1 month)"
     )))
-    in_window = (
-        (F.col("UserId") == F.col("DayUser"))
-        & (F.col("SpanMonth") == F.col("DayMonth"))
-        & F.col("YearMonthDay").between(F.col("LowerBoundary"), F.col("UpperBoundary"))
+    same = (F.col("UserId") == F.col("DayUser")) & (F.col("SpanMonth") == F.col("ActiveMonth"))
+    later = rel.days_in_span(
+        F.col("Days"), F.col("SpanMonth"), F.col("LowerBoundary"), F.col("UpperBoundary")
     )
-    # Spans and days are both distinct, so a plain count is a distinct count.
-    counts = (
-        touched.join(days, in_window, "left")
+    return (
+        touched.join(active, same, "left")
         .groupBy(*spans.columns)
-        .agg(F.count("YearMonthDay").alias("DaysActiveInSecondMonth"))
+        .agg(later.alias("DaysActiveInSecondMonth"))
+        .select(
+            "UserId", "MonthYear", "LowerBoundary", "UpperBoundary", "SignupDate",
+            "LastActiveDateInMonth", "ActiveDaysInMonth",
+            rel.flag(
+                dates.day_diff(F.col("SignupDate"), F.col("LastActiveDateInMonth")) > 30
+            ).alias("ExistingUser"),
+            "IsDeveloper", "DaysActiveInSecondMonth", "LastActiveDateBeforeMonth",
+        )
     )
-    return counts.select(
-        "UserId", "MonthYear", "LowerBoundary", "UpperBoundary", "SignupDate",
-        "LastActiveDateInMonth", "ActiveDaysInMonth",
-        rel.flag(
-            dates.day_diff(F.col("SignupDate"), F.col("LastActiveDateInMonth")) > 30
-        ).alias("ExistingUser"),
-        "IsDeveloper", "DaysActiveInSecondMonth", "LastActiveDateBeforeMonth",
+
+
+def monthly_existing_users(
+    users_month: DataFrame,
+    users: DataFrame,
+    events: DataFrame,
+    *,
+    types: Iterable[str],
+    internal: str,
+) -> DataFrame:
+    """Active external user-months with next-month activity.
+
+    ``ExistingUser`` is 1 when the last active day lies more than 30 days after
+    signup; ``DaysActiveInSecondMonth`` counts distinct active days from 30 to
+    60 days after it.  ``LastActiveDateBeforeMonth`` is the latest active day
+    on or after signup in any earlier month - of all months of the user, also
+    inactive ones - found by a running maximum instead of a self-join.
+    """
+    earlier = (
+        Window.partitionBy("UserId", "SignupDate")
+        .orderBy(dates.month_index(F.col("MonthYear")))
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    months = _user_months(users_month, users, internal).withColumn(
+        "LastActiveDateBeforeMonth", F.max(_since_signup()).over(earlier)
+    )
+    return _with_second_month(months, events, types)
+
+
+# What has to be known of a user's earlier months: a row per user and signup.
+STATE = (
+    "UserId string, SignupDate timestamp_ntz, LastActiveDate date, FirstExistingMonth date"
+)
+
+
+def existing_users_of_month(
+    state: DataFrame,
+    users_month: DataFrame,
+    users: DataFrame,
+    events: DataFrame,
+    *,
+    month: dt.date,
+    types: Iterable[str],
+    internal: str,
+) -> DataFrame:
+    """The rows of :func:`monthly_existing_users` for one month, from the state before it.
+
+    Reads one month of the monthly fact and the log of the two months in which its
+    windows lie, however long the history is.  The last active day of an active month
+    must lie in that month.  Windows end 60 days after it: months whose windows are
+    still open are computed again later, from the same state.
+    """
+    following = (month.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+    start = dt.datetime(month.year, month.month, 1) + dt.timedelta(days=30)
+    end = dt.datetime(following.year, following.month, 1) + dt.timedelta(days=60)
+    before = state.select(
+        "UserId", "SignupDate", F.col("LastActiveDate").alias("LastActiveDateBeforeMonth")
+    )
+    months = _user_months(
+        users_month.where(F.col("MonthYear") == F.lit(month)), users, internal
+    ).join(before, ["UserId", "SignupDate"], "left")
+    near = events.where(
+        (F.col("Timestamp") >= F.lit(start)) & (F.col("Timestamp") < F.lit(end))
+    )
+    return _with_second_month(months, near, types)
+
+
+def state_after_month(
+    state: DataFrame,
+    existing: DataFrame,
+    users_month: DataFrame,
+    users: DataFrame,
+    *,
+    month: dt.date,
+    internal: str,
+) -> DataFrame:
+    """The state with one more month; months are merged in order.
+
+    ``existing`` are the rows of :func:`existing_users_of_month` of that month.
+    """
+    months = _user_months(
+        users_month.where(F.col("MonthYear") == F.lit(month)), users, internal
+    )
+    nothing = F.lit(None).cast("date")
+    seen = months.select(
+        "UserId", "SignupDate", _since_signup().alias("LastActiveDate"),
+        nothing.alias("FirstExistingMonth"),
+    )
+    first = existing.where("ExistingUser = 1").select(
+        "UserId", "SignupDate", nothing.alias("LastActiveDate"),
+        F.col("MonthYear").alias("FirstExistingMonth"),
+    )
+    return (
+        state.unionByName(seen).unionByName(first)
+        .groupBy("UserId", "SignupDate")
+        .agg(
+            F.max("LastActiveDate").alias("LastActiveDate"),
+            F.min("FirstExistingMonth").alias("FirstExistingMonth"),
+        )
     )
 
 
@@ -126,9 +209,16 @@ def existing_user_churn_flags(
     )
 
 
-def existing_user_types(existing: DataFrame) -> DataFrame:
-    """New, resurrected or plain existing user, per user-month."""
+def existing_user_types(existing: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """New, resurrected or plain existing user, per user-month.
+
+    With the ``state`` before it, ``existing`` holds a single month.
+    """
     first_month = F.min("MonthYear").over(Window.partitionBy("UserId"))
+    if state is not None:
+        known = state.groupBy("UserId").agg(F.min("FirstExistingMonth").alias("_first"))
+        existing = existing.join(known, "UserId", "left")
+        first_month = F.coalesce("_first", "MonthYear")
     return existing.select(
         "UserId", "MonthYear", "LastActiveDateInMonth", "ActiveDaysInMonth",
         "LastActiveDateBeforeMonth", "IsDeveloper", "ExistingUsersActiveInSecondMonth",

@@ -77,15 +77,20 @@ def _add_activation(
     )
 
 
+def _window_days(days: Column) -> Column:
+    """Distinct active days in the retention window, from the bitmaps of its months."""
+    return rel.days_in_span(
+        days, F.col("ActiveMonth"), F.col("LowerBoundary"), F.col("UpperBoundary")
+    ).alias("DaysActiveInSecondMonth")
+
+
 def _add_active_days(rows: DataFrame, events: DataFrame, types: Iterable[str]) -> DataFrame:
-    days = rel.active_days(events, types).withColumnRenamed("OpenId", "DayUser")
-    in_window = (F.col("UserId") == F.col("DayUser")) & F.col("YearMonthDay").between(
-        F.col("LowerBoundary"), F.col("UpperBoundary")
+    months = rel.active_months(events, types).withColumnRenamed("OpenId", "DayUser")
+    touched = (F.col("UserId") == F.col("DayUser")) & F.col("ActiveMonth").between(
+        dates.month_start(F.col("LowerBoundary")), F.col("UpperBoundary")
     )
     return (
-        rows.join(days, in_window, "left")
-        .groupBy(*rows.columns)
-        .agg(F.countDistinct("YearMonthDay").alias("DaysActiveInSecondMonth"))
+        rows.join(months, touched, "left").groupBy(*rows.columns).agg(_window_days(F.col("Days")))
     )
 
 
@@ -96,28 +101,30 @@ def _add_daily_facts(
     retention_types: Iterable[str],
     days: int,
 ) -> DataFrame:
-    """Activation and retention from one pass over the log: per user and day the
-    first activation and whether the day was active at all."""
+    """Activation and retention from one pass over the log: per user and month the
+    first activation and the active days."""
     activated, retained = list(activation_types), list(retention_types)
-    daily = (
+    monthly = (
         rel.event_scan(events, sorted({*activated, *retained}))
         .where(F.col("OpenId").isNotNull())
-        .groupBy(F.col("OpenId").alias("DayUser"), F.to_date("Timestamp").alias("Day"))
+        .groupBy(
+            F.col("OpenId").alias("DayUser"),
+            dates.month_start(F.col("Timestamp")).alias("ActiveMonth"),
+        )
         .agg(
             F.min(F.when(rel.one_of("EventType", activated), F.col("Timestamp"))).alias("First"),
-            F.max(rel.flag(rel.one_of("EventType", retained))).alias("Active"),
+            rel.day_bits(
+                F.when(rel.one_of("EventType", retained), F.col("Timestamp"))
+            ).alias("Days"),
         )
     )
-    in_window = (F.col("Active") == 1) & F.col("Day").between(
-        F.col("LowerBoundary"), F.col("UpperBoundary")
-    )
     elapsed = dates.day_diff(F.col("SignupDate"), F.min("First"))
     return (
-        rows.join(daily, F.col("UserId") == F.col("DayUser"), "left")
+        rows.join(monthly, F.col("UserId") == F.col("DayUser"), "left")
         .groupBy(*rows.columns)
         .agg(
             rel.flag(elapsed <= days).alias("ActivatedWithin30days"),
-            F.countDistinct(F.when(in_window, F.col("Day"))).alias("DaysActiveInSecondMonth"),
+            _window_days(F.col("Days")),
         )
     )
 

@@ -93,6 +93,52 @@ def active_days(
     )
 
 
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
+
+
+def day_bits(at: Column) -> Column:
+    """Aggregate: the days of a month on which something happened, as bits from day 1."""
+    return F.bit_or(_bit(F.dayofmonth(at) - 1))
+
+
+def active_months(events: DataFrame, types: Iterable[str]) -> DataFrame:
+    """One row per (user, month) with the bitmap ``Days`` of its active days.
+
+    Bitmaps merge by OR, so they combine map-side and stand for up to 31 rows of
+    :func:`active_days` in every later join.
+    """
+    return (
+        event_scan(events, types)
+        .where(F.col("OpenId").isNotNull())
+        .groupBy("OpenId", F.trunc("Timestamp", "MM").alias("ActiveMonth"))
+        .agg(day_bits(F.col("Timestamp")).alias("Days"))
+    )
+
+
+def span_bits(days: Column, month: Column, low: Column, high: Column) -> Column:
+    """The days of ``month`` that lie in the closed span, as bits from its first day.
+
+    Bounds compare as instants: with a time of day, the span starts on the next day.
+    The bitmaps of all months of a span merge by OR, so a month met twice counts once.
+    A span has at most 62 days.
+    """
+    first = F.to_date(low)
+    first = F.when(first < low, F.date_add(first, 1)).otherwise(first)
+    at = F.datediff(month, first)
+    length = F.datediff(F.to_date(high), first) + 1
+    moved = F.when(at >= 0, F.call_function("shiftleft", days, at)).otherwise(
+        F.call_function("shiftrightunsigned", days, -at))
+    inside = at.between(-30, 61) & length.between(1, 62)
+    return F.when(inside, moved.bitwiseAND(_bit(length) - 1)).otherwise(0)
+
+
+def days_in_span(days: Column, month: Column, low: Column, high: Column) -> Column:
+    """Aggregate: distinct active days in the span, over the months that touch it."""
+    bits = F.bit_or(span_bits(days, month, low, high))
+    return F.coalesce(F.bit_count(bits), F.lit(0)).cast("bigint")
+
+
 def day_flags(
     events: DataFrame, categories: Mapping[str, Iterable[str]], day: str = "Day"
 ) -> DataFrame:

@@ -1,27 +1,82 @@
 """Reading and writing tables as Parquet directories, and staging.
 
-A table is a directory under a root that every executor can reach.
+A table is a directory under a root that every executor can reach.  A table that is
+replaced as a whole holds a directory for each version, and a pointer names the current
+one.  A version becomes current by one atomic rename after all of it is written, so a job
+that fails leaves the old rows, and readers never see a half-written table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_POINTER = "_current"
+_VERSION = "version="
+
+
+def _files(spark: SparkSession, path: str):
+    """The Hadoop path of ``path`` and its file system, as the session configures it."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def _current(spark: SparkSession, table: str) -> str | None:
+    """The current version's name; None where the table is one plain directory."""
+    pointer, files = _files(spark, f"{table}/{_POINTER}")
+    if not files.exists(pointer):
+        return None
+    stream = files.open(pointer)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def _point_to(spark: SparkSession, table: str, version: str) -> None:
+    """Make ``version`` current: a pointer written aside takes the old one's place."""
+    jvm = spark.sparkContext._jvm
+    aside, files = _files(spark, f"{table}/{_POINTER}-{uuid.uuid4().hex}")
+    stream = files.create(aside, True)
+    stream.write(version.encode())
+    stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    pointer, _ = _files(spark, f"{table}/{_POINTER}")
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), files.getConf()).rename(
+        aside, pointer, options)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table, or the earlier output of a job."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    table = f"{root.rstrip('/')}/{name}"
+    version = _current(spark, table)
+    return spark.read.parquet(f"{table}/{version}" if version else table)
 
 
 def replace_table(
     rows: DataFrame, root: str, name: str, *, partition_by: Sequence[str] = ()
 ) -> None:
-    """Write ``rows`` as the whole content of the table."""
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{root.rstrip('/')}/{name}")
+    """Write ``rows`` as the whole content of the table.
+
+    Rows may come from the table itself.  The version replaced stays until the next
+    replacement, for readers that have begun; older ones and what failed jobs left go.
+    """
+    spark, table = rows.sparkSession, f"{root.rstrip('/')}/{name}"
+    before, version = _current(spark, table), f"{_VERSION}{uuid.uuid4().hex}"
+    rows.write.partitionBy(*partition_by).parquet(f"{table}/{version}")
+    _point_to(spark, table, version)
+    place, files = _files(spark, table)
+    for entry in files.listStatus(place):
+        if entry.getPath().getName() not in (_POINTER, version, before):
+            files.delete(entry.getPath(), True)
 
 
 def create_table(rows: DataFrame, root: str, name: str) -> None:

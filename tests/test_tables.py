@@ -33,6 +33,39 @@ def test_replace_create_and_append(spark, make, tmp_path):
     ]
 
 
+def values(spark, root):
+    return sorted(r.a for r in tables.read_table(spark, root, "t").collect())
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, make, tmp_path):
+    root = str(tmp_path)
+    tables.replace_table(make.table("a int", [(1,), (2,)]), root, "t")
+    # some tasks write their part before another one fails
+    broken = spark.range(0, 1000, 1, 8).selectExpr(
+        "CAST(IF(id = 999, raise_error('lost'), id) AS INT) AS a")
+    with pytest.raises(Exception, match="lost"):
+        tables.replace_table(broken, root, "t")
+    assert values(spark, root) == [1, 2]
+    tables.replace_table(make.table("a int", [(3,)]), root, "t")
+    assert values(spark, root) == [3]
+    kept = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("version=")]
+    assert len(kept) == 2  # the current version and the one before; the failed one is gone
+
+
+def test_readers_keep_the_version_they_began_with(spark, make, tmp_path):
+    root = str(tmp_path)
+    tables.replace_table(make.table("a int", [(1,)]), root, "t")
+    begun = tables.read_table(spark, root, "t")
+    tables.replace_table(make.table("a int", [(2,)]), root, "t")
+    assert rows(begun) == [(1,)] and values(spark, root) == [2]
+    # a table may be replaced by what is read from it, and start as a plain directory
+    tables.replace_table(tables.read_table(spark, root, "t").selectExpr("a + 1 AS a"), root, "t")
+    assert values(spark, root) == [3]
+    make.table("a int", [(7,)]).write.parquet(f"{root}/plain")
+    tables.replace_table(tables.read_table(spark, root, "plain").selectExpr("a + 1 AS a"), root, "plain")
+    assert rows(tables.read_table(spark, root, "plain")) == [(8,)]
+
+
 def test_event_log_is_pruned_by_day_and_filtered_in_the_scan(spark, make, tmp_path):
     events = make.events([("u", "a", "2018-01-01 10:00"), ("u", "b", "2018-01-02"), ("v", "a", "2018-01-03")])
     tables.write_event_log(events, str(tmp_path), "log")
