@@ -460,12 +460,14 @@ def _cells(packed: np.ndarray, width: int) -> np.ndarray:
 
 
 def near_documents(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """doc_id, th, n_shingles, c and component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, th, n_shingles, c, root and component_id of every row of ``docs`` (doc_id, text).
 
     Documents link when their shingle sets overlap by ``percent`` of the union.  Without
     words (null text, white space) the set is empty, and the row links with nothing and
     is its own component.  component_id is the smallest doc_id that links reach, null if
-    all of them are null; rows that repeat an id are rows of their own.
+    all of them are null; rows that repeat an id are rows of their own.  ``c`` is the
+    class of rows with equal sets and ``root`` that of all classes that links reach: it
+    tells components apart also where two of them hold the same id.
     """
     docs = docs.select("doc_id", "text")
     found = stage(described(docs, words=words))
@@ -484,11 +486,12 @@ def near_documents(docs: DataFrame, *, words: int = WORDS, percent: int = PERCEN
     joined = linked.join(classes.select(F.col("c").alias("node"), "least"), "node")
     named = joined.join(joined.groupBy("root").agg(F.min("least").alias("component")), "root")
     known = (
-        classes.join(named.select(F.col("node").alias("c"), "component"), "c", "left")
-        .select("c", F.coalesce("component", "least").alias("component_id"))
+        classes.join(named.select(F.col("node").alias("c"), "root", "component"), "c", "left")
+        .select("c", F.coalesce("root", "c").alias("root"),
+                F.coalesce("component", "least").alias("component_id"))
     )
     return rows.join(known, "c", "left").select(
-        "doc_id", "th", F.col("n").alias("n_shingles"), "c",
+        "doc_id", "th", F.col("n").alias("n_shingles"), "c", "root",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
@@ -496,13 +499,13 @@ def near_documents(docs: DataFrame, *, words: int = WORDS, percent: int = PERCEN
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, all columns, but of each group of near copies only one.
 
-    That of the smallest id stays (of equal ids, that of the smallest text hash); texts
-    without words are in no group and stay.
+    That of the smallest id stays (of equal ids, that of the smallest text hash), one
+    without an id only where all are; texts without words are in no group and stay.
+    Groups are what links reach, whatever the ids: unlinked texts under one id all stay.
     """
     found = near_documents(docs, **settings).filter("n_shingles > 0")
-    stays = found.groupBy("component_id", F.when(
-        F.col("component_id").isNull(), F.col("c")).alias("own")).agg(
-            F.min(F.struct("doc_id", "th")).alias("one")).select("one.doc_id", "one.th").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th"))
+    stays = found.groupBy("root").agg(first.alias("one")).select("one.doc_id", "one.th").distinct()
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
     whole = docs.select(row.alias("row"), "doc_id", "text", F.coalesce(_text_hash(), F.lit(0)).alias("th"))
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cohortia.llm.common import importable, scan
 
 PROFILE = 300  # n-grams of a profile
-LEARN_ROWS = 20_000  # about as many labelled texts are learnt from
+LEARN_ROWS = 5_000  # about as many texts of each label are learnt from
 BITS = 21  # of a code point
 UNKNOWN = "und"
 
@@ -92,16 +92,18 @@ def learn(
 ) -> Profiles:
     """Profiles of the languages of labelled ``docs`` (text, non-null lang, doc_id).
 
-    Learns from about ``rows`` texts, chosen by a hash of doc_id (all, if there are
-    fewer).  What reaches the driver is ``length`` n-grams of each label.
+    Learns from about ``rows`` texts of each label, chosen by a hash of doc_id (all, if
+    there are fewer), so that a rare language keeps its profile beside frequent ones.
+    What reaches the driver is a count and ``length`` n-grams of each label.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    n = labelled.count()
-    share = min(1.0, rows / max(n, 1))
-    chosen = labelled.filter(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < int(share * (1 << 20))
-        if share < 1 else F.lit(True)
-    )
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    shares = [x for lang, n in counts.items() if n > rows for x in (F.lit(lang), F.lit(int(rows / n * (1 << 40))))]
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
+    chosen = labelled
+    if shares:
+        chosen = labelled.filter(draw < F.coalesce(
+            F.try_element_at(F.create_map(*shares), F.col("lang")), F.lit(1 << 40)))
 
     def each(slices: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         for part in slices:
@@ -152,8 +154,9 @@ def predict(docs: DataFrame, profiles: Profiles) -> DataFrame:
 def known(docs: DataFrame, profiles: Profiles) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has a known language.
 
-    Rejected are texts without a letter (null and empty ones too); if nothing was
-    learnt, nothing is told apart and all rows with a letter stay.
+    Rejected are texts without a letter (null and empty ones too) and texts that share
+    no n-gram with any profile, such as those in another script (score 0); if nothing
+    was learnt, nothing is told apart and all rows with a letter stay.
     """
     importable(docs.sparkSession)
 
@@ -161,6 +164,6 @@ def known(docs: DataFrame, profiles: Profiles) -> DataFrame:
     def accepted(texts):  # noqa: ANN001, ANN202
         if not profiles.languages:
             return texts.map(lambda text: bool(len(gram_counts(text)[0])))
-        return texts.map(lambda text: profiles.predict(text)[0] != UNKNOWN)
+        return texts.map(lambda text: profiles.predict(text)[1] > 0)
 
     return docs.filter(accepted(F.col("text")))

@@ -28,6 +28,7 @@ STEPS = 60  # Newton steps at most
 CLOSE = 1e-9  # of the target
 UNIT = 1 << 20  # fractions of a copy
 RUN = 4096  # documents whose fractions are carried along in one window
+SALTS = 64  # tasks that the rows of one source meet its facts in, at most
 CLOSING = 3  # single documents that close the last gap of a source
 
 
@@ -74,6 +75,14 @@ def source_targets(sized: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, shar
     )
 
 
+def _beside(rows: DataFrame, facts: DataFrame, key: str = "k") -> DataFrame:
+    """Rows with the facts of their source, which may own most of them: source and salt
+    deal the rows, and each fact goes to every salt."""
+    salts = facts.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("mark", "doc_id"), F.lit(SALTS))).join(
+        salts, [key, "salt"]).drop("salt")
+
+
 def _rate(tilt: Column, x: Column) -> Column:
     """Rate of a document of scaled size x; a null tilt is a source that is full."""
     return F.when(tilt.isNull(), float(MOST)).otherwise(
@@ -157,7 +166,7 @@ def mix(docs: DataFrame) -> DataFrame:
     rows = (
         sized.alias("s").join(targets.alias("t"), F.expr("s.source <=> t.source"))
         .select("doc_id", "s.source", "size", "mark", "k", "source_size", "target")
-        .join(tilts(sized, targets), "k")
+        .transform(_beside, tilts(sized, targets))
         .withColumn("units", F.when(F.col("size") > 0, F.round(
             _rate(F.col("tilt"), F.col("size") / F.col("scale")) * UNIT)).otherwise(UNIT)
             .cast("long"))
@@ -198,7 +207,7 @@ def _closed(rows: DataFrame) -> DataFrame:
         F.col("copies") > 0)
     left = F.abs(F.abs("gap") - F.col("size"))
     best = (
-        rows.join(gaps, "k").filter(can & (left < F.abs("gap")))
+        _beside(rows, gaps).filter(can & (left < F.abs("gap")))
         .groupBy("k").agg(F.min(F.struct(left.alias("left"), "bin", "run", "nth",
                                          F.signum("gap").cast("int").alias("change"))).alias("b"))
         .select("k", "b.bin", "b.run", "b.nth", "b.change")

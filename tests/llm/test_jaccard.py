@@ -126,3 +126,16 @@ def test_bound_of_the_overlap():
                 shared = len(np.intersect1d(own[i], own[j]))
                 if 100 * shared >= 90 * (n[i] + n[j] - shared):
                     assert near[j]
+
+
+def test_one_of_each_goes_by_links_and_not_by_ids(spark):
+    words = "the quick brown fox jumps over a lazy dog near the old river bank at dawn".split()
+    near = [" ".join([*words, f"end{i}"]) for i in range(3)]
+    other = "an entirely different text that shares not a single shingle with any of them here"
+    texts = [near[0], other, near[1], near[2], "x y z", "x y z"]
+    frame = samples.docs(spark, texts, ids=[7, 7, 9, None, None, None])
+    kept = jaccard.one_of_each(frame, words=5, percent=60).collect()
+    # one id on two unrelated texts keeps both; near copies without an id are one group
+    assert sorted((r["doc_id"] or -1, r["text"]) for r in kept) == [(-1, "x y z"), (7, other), (7, near[0])]
+    unnamed = samples.docs(spark, near, ids=[None] * 3)
+    assert jaccard.one_of_each(unnamed, words=5, percent=60).count() == 1

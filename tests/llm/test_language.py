@@ -65,3 +65,12 @@ def test_awkward_rows(spark):
     nothing = language.learn(empty)
     assert {r[0] for r in language.predict(docs, nothing).select("lang_pred").collect()} == {"und"}
     assert language.known(docs, nothing).filter(F.col("doc_id") == 3).count() == 2
+
+
+def test_another_script_is_rejected_and_rare_languages_are_learnt(spark):
+    texts = [f"the cat and the dog number {i} are here" for i in range(400)] + ["le chat est sur la table"] * 2
+    frame = samples.docs(spark, texts, langs=["en"] * 400 + ["fr"] * 2)
+    profiles = language.learn(frame, rows=20)
+    assert set(profiles.languages) == {"en", "fr"}
+    probe = samples.docs(spark, ["the dog", "le chat", "\u65e5\u672c\u8a9e\u306e\u6587\u7ae0", "12", None])
+    assert {r["doc_id"] for r in language.known(probe, profiles).collect()} == {0, 1}

@@ -1,5 +1,3 @@
-import itertools
-
 import numpy as np
 
 from cohortia.llm import lattice
@@ -32,10 +30,11 @@ def by_brute_force(vectors):
         if v and all(x is not None and np.isfinite(x) for x in v) and np.any(np.array(v) != 0):
             good[i] = np.array(v, float) / np.linalg.norm(np.array(v, float))
     links = {i: set() for i, _ in vectors}
-    for a, b in itertools.combinations(good, 2):
-        if len(good[a]) == len(good[b]) and good[a] @ good[b] >= lattice.COSINE:
-            links[a].add(b)
-            links[b].add(a)
+    for size in {len(v) for v in good.values()}:
+        ids = [i for i, v in good.items() if len(v) == size]
+        x = np.array([good[i] for i in ids])
+        for at, row in enumerate(x):
+            links[ids[at]] |= {ids[j] for j in np.flatnonzero(x @ row >= lattice.COSINE) if j != at}
     root = {}
     for i in sorted(links):
         todo = [i]
@@ -66,14 +65,22 @@ def test_equals_brute_force(spark):
     assert {r["vec_id"]: tuple(r)[1:] for r in found} == by_brute_force(rows)
 
 
-def test_recall_on_the_table(spark):
-    table = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").limit(3000)
-    rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+def test_recall_of_links_near_the_edge(spark):
+    random = np.random.default_rng(6)
+    x = random.normal(size=(1_500, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    off = random.normal(size=x.shape)
+    off -= (off * x).sum(axis=1)[:, None] * x
+    off /= np.linalg.norm(off, axis=1)[:, None]
+    cosines = random.uniform(0.951, 0.99, len(x))
+    near = cosines[:, None] * x + np.sqrt(1 - cosines**2)[:, None] * off
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(np.concatenate([x, near]))]
     want = by_brute_force(rows)
+    assert sum(n for n, _, _ in want.values()) >= 2 * len(x)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = {r["vec_id"]: r["n_links"] for r in lattice.near_duplicates(frame).collect()}
     assert all(got[i] <= want[i][0] for i in want)
-    assert sum(got.values()) >= 0.99 * sum(n for n, _, _ in want.values())
+    assert sum(got.values()) >= 0.95 * sum(n for n, _, _ in want.values())
 
 
 def test_empty_and_missing_ids(spark):
