@@ -218,7 +218,7 @@ def counted(rows: DataFrame, name: str) -> DataFrame:
 
 
 RUN = 1000  # copies that one row unfolds to in one step
-SALTS = 64  # tasks that the rows of one listed key value spread over
+SPREAD = 10_000  # rows of one listed key value for which a further salt is taken
 
 
 def unfolded(rows: DataFrame, count: str) -> DataFrame:
@@ -252,11 +252,15 @@ def semi_join_spread(rows: DataFrame, known: DataFrame, key: str, spread: str) -
     """Semi-join with a short list of ``key`` values of which each has very many rows.
 
     Both sides carry a salt, drawn from ``spread`` on the left and all salts on the
-    right, so that one value goes to many tasks.
+    right, so that one value goes to many tasks: one for every ``SPREAD`` rows that the
+    most frequent value has in ``known``, where each value is counted.
     """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    salts = F.coalesce(F.ceil(F.max("_rows") / SPREAD), F.lit(1))
+    most = counts.agg(salts.cast("bigint").alias("_salts"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), most.scalar()))
     listed = known.select(key).distinct().withColumn(
-        "_salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), most.scalar() - 1)))
     return salted.join(listed, [key, "_salt"], "left_semi").drop("_salt")
 
 

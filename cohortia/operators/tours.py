@@ -127,6 +127,7 @@ def tour_output(
     experiment: str | None = None,
     not_experiment: str | None = None,
     first_days: int = 8,
+    copies: str | None = None,
 ) -> DataFrame:
     """Started tutorials of new users with conversion and growth metrics.
 
@@ -137,7 +138,10 @@ def tour_output(
 
     The grain is user x tutorial, times each 'continue' step of the user when
     ``continued`` is given (it is matched on the user alone, on purpose), times
-    each broken day of the user when ``broken`` is given.
+    each broken day of the user when ``broken`` is given.  A user's equal steps go through
+    the joins as one row with their number and unfold last, dealt anew, so that no task
+    has to write out one user's product; ``copies`` names a column that keeps the number
+    instead, as a weight for statistics.
     """
     tutorial = F.col("Tutorial")
     name = text.tutorial_experiment(tutorial)
@@ -164,11 +168,14 @@ def tour_output(
         F.when(due, F.col("WmActivated")).alias("WmActivated"),
     ]
     if continued is not None:
-        choices = continued.select(F.col("OpenId").alias("_chooser"), "StepName")
+        choices = rel.counted(
+            continued.select(F.col("OpenId").alias("_chooser"), "StepName"), "_steps"
+        )
         base = base.join(choices, (F.col("OpenId") == F.col("_chooser")) & known, "left")
         columns += [
             rel.flag(F.col("StepName") == taxonomy.CONTINUE_LEARN).alias("Learn"),
             rel.flag(F.col("StepName") == taxonomy.CONTINUE_IN_APP).alias("WorkInApp"),
+            "_steps",
         ]
     tours = base.select(*columns, steps.alias("CompletedSteps"))
 
@@ -199,7 +206,11 @@ def tour_output(
     if customer_types is not None:
         types = customer_types.select(F.col("OpenId").alias("CustomerId"), "CustomerType")
         out = out.join(types, F.col("OpenId") == F.col("CustomerId"), "left").drop("CustomerId")
-    return out
+    if continued is None:
+        return out if copies is None else out.withColumn(copies, F.lit(1).cast("bigint"))
+    if copies is None:
+        return rel.unfolded(out, "_steps")
+    return out.withColumn(copies, F.coalesce("_steps", F.lit(1))).drop("_steps")
 
 
 def flow_conversion(events: DataFrame) -> DataFrame:

@@ -5,9 +5,10 @@ import pytest
 from bindings import rules
 from bindings.registry import REGISTRY
 from bindings.spark_views import Tables
+from cohortia.operators import growth
 from cohortia.operators import relational as rel
 from cohortia.plans.jobs import Jobs, Settings
-from cohortia.sources import tables
+from cohortia.sources import tables, taxonomy
 from tests.conftest import day, rows
 
 import bindings.queries  # noqa: F401  (fills the registry)
@@ -104,6 +105,28 @@ def test_staged_rows_survive_without_lineage(spark, make, tmp_path):
     assert "FileScan parquet" in plan and "LocalTableScan" not in plan
 
 
+def test_user_chains_on_the_bucketed_log_need_no_shuffle_of_it(spark, tmp_path):
+    t, types = Tables(spark, SF), taxonomy.growth_types("Acme")
+    tables.write_user_log(t.platform_event(), "user_log", str(tmp_path / "log"), buckets=3)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        users = growth.growth_users(t.user_current(), internal="acme")
+        kgm = lambda log: growth.key_growth_metrics(
+            users, growth.growth_events(log, types=types, after=rules.GROWTH_SINCE),
+            t.company_current(), internal="acme", retention_types=types)
+        stored = kgm(spark.table("user_log"))
+        text = stored._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line]
+        keys = [line.split("hashpartitioning(")[1] for line in moved]
+        assert not [k for k in keys if k.startswith(("OpenId", "DayUser", "_groupingexpression"))], keys
+        assert "Bucketed: true" in text
+        assert rows(stored) == rows(kgm(t.platform_event()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE user_log")
+
+
 def test_jobs_build_the_same_reports_as_the_queries(spark, tmp_path):
     source, target = str(tmp_path / "in"), str(tmp_path / "out")
     t = Tables(spark, SF)
