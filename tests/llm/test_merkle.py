@@ -1,3 +1,4 @@
+import random
 from hashlib import sha256
 
 from cohortia.llm import merkle
@@ -64,3 +65,16 @@ def test_awkward_rows(spark):
     assert merkle.edit_report(samples.empty(spark)).count() == 0
     assert merkle.edit_report(docs.filter("doc_id IS NULL")).count() == 2
     assert merkle.fingerprints(docs).count() == docs.count()
+
+
+def test_unbroken_text_is_cut_by_content():
+    draw = random.Random(3)
+    for alphabet in ("\u65e5\u672c\u8a9e\u6587\u7ae0\u4e2d\u56fd\u5b57", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdef0123456789+/"):
+        text = "".join(draw.choices(alphabet, k=4_000))
+        leaves = merkle.paragraphs(text)
+        assert b"".join(leaves) == text.encode() and len(leaves) > 30
+        edited = text[:2_000] + "#" + text[2_000:]
+        changed = set(merkle.paragraphs(edited)) ^ set(leaves)
+        assert 0 < len(changed) <= 6
+        half = text[:2_000] + "".join(draw.choices(alphabet, k=2_000))
+        assert merkle.likeness(merkle.fingerprint(text), merkle.fingerprint(half)) > 0.3
