@@ -150,6 +150,29 @@ def test_semi_join_with_few_values_is_spread(spark):
     assert got.columns == ["m", "id"] and got.count() == 667
 
 
+def test_salts_follow_the_measured_rows(spark, monkeypatch):
+    """A value of one row and one of 10,000: as many tasks as its rows ask for."""
+    monkeypatch.setattr(rel, "SPREAD", 500)
+    known = spark.range(10_000).selectExpr("id AS user", "'2018-02' AS m").union(
+        spark.createDataFrame([(1, "2018-01")], "user bigint, m string"))
+    many = known.union(spark.createDataFrame([(5, "2019-09")], "user bigint, m string"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = rel.semi_join_spread(many, known, "m", "user")
+        tasks = got.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(t["count"] for t in tasks) == 10_001
+    assert max(t["count"] for t in tasks) <= 4 * 500  # 20 salts, a few to a task by chance
+    few = rel.semi_join_spread(many.where("user = 1"), known.where("user = 1"), "m", "user")
+    assert rows(few) == [("2018-01", 1), ("2018-02", 1)] or rows(few, "user", "m") == [(1, "2018-01"), (1, "2018-02")]
+
+
 def test_blank_keys_scatter_where_nothing_is_blank(spark):
     left = spark.createDataFrame([("a", 1), ("", 2), (None, 3)], "k string, id int")
     right = spark.createDataFrame([("a", "x")], "rk string, v string")

@@ -77,6 +77,24 @@ def test_output_fans_out_over_continue_steps_and_broken_days(make):
     assert rows(got.where("Tutorial IS NULL").select("Experiment", "GuidanceFinished", "CompletedSteps").distinct()) == [("", 0, None)]
 
 
+def test_repeated_steps_are_a_number_until_all_joins_are_done(make, spark):
+    """One user owns most continue steps and broken days: rows go through the joins once."""
+    events = [*BASE, *[("u", BROKEN, f"2018-01-{d:02}") for d in range(2, 12)]]
+    frame = make.events(events)
+    conversion = tours.tour_conversion(tours.tour_progress(frame), frame, anchor="start")
+    growth = make.table("UserId string, SignupDate date, ActivatedWithin30days int", [("u", day("2018-01-01"), 1)])
+    many = tours.tour_continue(frame).join(spark.range(3_000).select("id")).drop("id")
+    options = dict(as_of=dt.datetime(2018, 3, 1), continued=many, broken=tours.tour_broken(frame))
+    counted = tours.tour_output(conversion, growth, copies="times", **options)
+    # tutorials x two step names x ten days, each with its number of repetitions
+    assert counted.count() == 2 * 2 * 10 + 10
+    assert {r.times for r in counted.select("times").distinct().collect()} == {3_000, 1}
+    whole = tours.tour_output(conversion, growth, **options)
+    assert whole.count() == 2 * 2 * 10 * 3_000 + 10
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("sequence(1") < plan.index("Join")  # copies unfold above every join
+
+
 def test_only_the_first_week_after_signup(make):
     events = [step(u, "welcome1", "2018-01-10") for u in ("d7", "d8", "before", "unknown")]
     got = output(make, events, {"d7": "2018-01-03", "d8": "2018-01-02", "before": "2018-02-01"}, continued=False)
