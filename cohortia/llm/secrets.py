@@ -22,17 +22,17 @@ from cohortia.llm.common import stage
 
 NAMES = r"(?i:token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|credential)"
 PROVIDER = (
-    r"(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,255}|github_pat_[A-Za-z0-9_]{22,255}"
-    r"|xox[abeprs]-[A-Za-z0-9\-]{10,255}|[srp]k_(?:live|test)_[A-Za-z0-9]{16,255}|sk-[A-Za-z0-9_\-]{20,255}"
-    r"|AIza[A-Za-z0-9_\-]{35}|glpat-[A-Za-z0-9_\-]{20,255}|npm_[A-Za-z0-9]{36}"
-    r"|eyJ[A-Za-z0-9_\-]{8,4096}\.eyJ[A-Za-z0-9_\-]{8,4096}\.[A-Za-z0-9_\-]{8,4096})"
+    r"(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}+|github_pat_[A-Za-z0-9_]{22,}+"
+    r"|xox[abeprs]-[A-Za-z0-9\-]{10,}+|[srp]k_(?:live|test)_[A-Za-z0-9]{16,}+|sk-[A-Za-z0-9_\-]{20,}+"
+    r"|AIza[A-Za-z0-9_\-]{35}|glpat-[A-Za-z0-9_\-]{20,}+|npm_[A-Za-z0-9]{36}"
+    r"|eyJ[A-Za-z0-9_\-]{8,}+\.eyJ[A-Za-z0-9_\-]{8,}+\.[A-Za-z0-9_\-]{8,}+)"
 )
-KEY_BEGINS, URL_USER = r"PRIVATE KEY(?: BLOCK)?-----", r"://[^\s:/@\"'<>]{0,32}:"
+KEY_BEGINS, URL_USER = r"PRIVATE KEY(?: BLOCK)?-----", r"://[^\s:/@\"'<>]{0,255}:"
 _GAP = r"(?:\s|\\[rn])"
-KEY_BODY = (  # headers, lines, and a last line that may be short
-    rf"(?<=-----)(?<={KEY_BEGINS}){_GAP}{{0,9}}+(?:[A-Za-z]{{1,32}}+(?:-[A-Za-z]{{1,32}}+)?+:[^\n]{{0,200}}+\s{{1,9}}+){{0,9}}+"
-    rf"[A-Za-z0-9+/=]{{16,}}+(?:{_GAP}{{1,9}}+[A-Za-z0-9+/=]{{16,}}+){{0,300}}+"
-    rf"(?:{_GAP}{{1,9}}+[A-Za-z0-9+/=]++(?={_GAP}{{0,9}}+-----END))?+"
+KEY_BODY = (  # headers, lines, and a last line that may be short; possessive loops need no stack
+    rf"(?<=-----)(?<={KEY_BEGINS}){_GAP}*+(?:[A-Za-z]++(?:-[A-Za-z]++)?+:[^\n]*+\s++)*+"
+    rf"[A-Za-z0-9+/=]{{16,}}+(?:{_GAP}++[A-Za-z0-9+/=]{{16,}}+)*+"
+    rf"(?:{_GAP}++[A-Za-z0-9+/=]++(?={_GAP}*+-----END))?+"
 )
 RUN = (  # not where a credential name and its sign of assignment begin
     rf"(?<![A-Za-z0-9+/=_\-])(?![A-Za-z0-9_\-]{{0,32}}{NAMES}[A-Za-z0-9_\-]{{0,16}}=[^=\s])"
@@ -40,11 +40,11 @@ RUN = (  # not where a credential name and its sign of assignment begin
 )
 ASSIGNED = (  # in quotes, or with a digit, a mark or mixed case
     rf"(?<=[:=]\s{{0,2}}[\"']?)(?<={NAMES}[A-Za-z0-9_\-]{{0,16}}[\"']?\s{{0,2}}[:=]{{1,2}}\s{{0,2}}[\"']?)"
-    r"(?:(?<=[\"'])[^\s\"'<>]{6,256}+(?=[\"'])"
-    r"|(?<![\"'])(?=[^\s\"'<>,;()\[\]{}]{0,64}[0-9!@#$%^&*]|[A-Za-z+/_\-]{0,32}[a-z][A-Z])[^\s\"'<>,;()\[\]{}]{6,256}+)"
+    r"(?:(?<=[\"'])[^\s\"'<>]{6,}+(?=[\"'])"
+    r"|(?<![\"'])(?=[^\s\"'<>,;()\[\]{}]{0,64}[0-9!@#$%^&*]|[A-Za-z+/_\-]{0,32}[a-z][A-Z])[^\s\"'<>,;()\[\]{}]{6,}+)"
 )
 CANDIDATE = "|".join((
-    KEY_BODY, rf"(?<=:)(?<={URL_USER})[^\s/@\"'<>]{{1,128}}+(?=@)", ASSIGNED,
+    KEY_BODY, rf"(?<=:)(?<={URL_USER})[^\s/@\"'<>]++(?=@)", ASSIGNED,
     rf"(?<![A-Za-z0-9+/=_\-]){PROVIDER}(?![A-Za-z0-9+/=_\-])", RUN,
 ))
 OPEN, CLOSE = "﷐", "﷑"  # noncharacters that mark candidates
@@ -65,26 +65,34 @@ FEATURES = (
 TREES, DEPTH, BINS = 16, 5, 16
 SPLIT_FEATURES = 5  # features that a node may split on
 LEARN_ROWS = 20_000  # about as many labelled findings are learnt from
-DICTIONARY_TEXTS, DICTIONARY = 2_000, 1_000  # texts it is taken from, its most words
+DICTIONARY = 1_000  # words of the dictionary
 LEAST = 0.5  # score of a secret
 
 
-def dictionary(docs: DataFrame, *, texts: int = DICTIONARY_TEXTS, words: int = DICTIONARY) -> list[str]:
-    """The most frequent words (4 letters or more) of about ``texts`` texts."""
-    n = docs.count()
-    share = min(1.0, texts / max(n, 1))
-    chosen = docs.filter(
-        F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < int(share * (1 << 20))
-        if share < 1 else F.lit(True)
-    )
+def dictionary(docs: DataFrame, *, words: int = DICTIONARY) -> list[str]:
+    """The words (4 letters or more) that most texts of ``docs`` hold, ties by word.
+
+    Every text counts; counts combine map-side, and only ``words`` words reach the driver.
+    """
+    own = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{4,}+"), F.lit(0)))
     found = (
-        chosen.select(F.explode(F.regexp_extract_all(
-            F.lower("text"), F.lit(r"\p{L}{4,}+"), F.lit(0))).alias("word"))
+        # the outer form: the plain one lets the optimizer match once more, to drop empty arrays
+        docs.select(F.explode_outer(own).alias("word")).filter("word IS NOT NULL")
         .groupBy("word").count().orderBy(F.desc("count"), "word").limit(words)
     )
     return sorted(row["word"] for row in found.collect())
 
 
+def _each(found: DataFrame, *keep: str) -> DataFrame:
+    """One row per candidate: ``keep``, nth and f.
+
+    The outer form of the explode: for the plain one the optimizer adds a filter on the
+    array's size and moves it before all others, which finds the candidates of all texts
+    twice, also of those that are not wanted.
+    """
+    return found.select(*keep, F.posexplode_outer("llm_found").alias("nth", "f")).filter("f IS NOT NULL")
+
+
 def _features(candidate: Column, before: Column, after: Column, path: Column,
               words: list[str]) -> list[Column]:
     n = F.length(candidate).cast("double")
@@ -306,7 +314,7 @@ def learn(docs: DataFrame, words: list[str], *, rows: int = LEARN_ROWS) -> Fores
         F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 20)) < int(share * (1 << 20))
         if share < 1 else F.lit(True)
     )
-    found = candidates(chosen, words).select(F.explode("llm_found").alias("f")).select("f.x")
+    found = _each(candidates(chosen, words)).select("f.x")
     return grow(stage(labelled(found)))
 
 
@@ -321,8 +329,7 @@ def findings(docs: DataFrame, forest: Forest, words: list[str]) -> DataFrame:
     One row per candidate of every whole text; null and empty texts have none.  Repeated
     rows give repeated rows.
     """
-    found = candidates(docs.select("doc_id", "text", "source"), words).select(
-        "doc_id", F.posexplode("llm_found").alias("nth", "f"))
+    found = _each(candidates(docs.select("doc_id", "text", "source"), words), "doc_id")
     return (
         found.withColumn("score", judged(forest, F.col("f.x")))
         .select(
