@@ -23,6 +23,7 @@ TOTAL_SPANS = {
     "ActiveDays1To30DaysAfterSignup": (1, 30),
     "ActiveDays30To60DaysAfterSignup": (30, 60),
 }
+LAST_DAY = max(high for _, high in [*SPANS.values(), *TOTAL_SPANS.values()])
 
 _USER_COLUMNS = [
     "UserId", "CompanyId", "DisplayName", "CompanyType", "Country", "Source",
@@ -81,18 +82,28 @@ def onboarding(
 ) -> DataFrame:
     """Active days per category and span, and retention in the second month.
 
-    ``users`` is the output of :func:`onboarding_users`.  Events shrink to one
-    row per user and day carrying a flag per category, and one join with
-    conditional sums yields all counts.
+    ``users`` is the output of :func:`onboarding_users`; repeated rows of it collapse.  The
+    log shrinks to one row per user and month with a bitmap of days per category.  A user
+    row meets the at most four months of its spans, and one aggregate yields all counts.
     """
-    flags = rel.day_flags(events, {**categories, "Any": tuple(activity)}).withColumnRenamed(
+    months = rel.category_months(events, {**categories, "Any": tuple(activity)}).withColumnRenamed(
         "OpenId", "DayUser"
     )
-    offset = dates.day_diff(F.col("SignupDate"), F.col("Day"))
-    near = (F.col("UserId") == F.col("DayUser")) & offset.between(0, 60)
+    signup, last = F.to_date("SignupDate"), F.date_add(F.to_date("SignupDate"), LAST_DAY)
+    near = (F.col("UserId") == F.col("DayUser")) & F.col("ActiveMonth").between(
+        dates.month_start(signup), last
+    )
+    # bit i of a category: active on day i after signup
+    since_signup = [
+        F.bit_or(rel.span_bits(F.col(name), F.col("ActiveMonth"), signup, last)).alias(f"_{name}")
+        for name in [*categories, "Any"]
+    ]
 
     def days_in(category: str, span: tuple[int, int], name: str) -> Column:
-        return F.sum(F.when(offset.between(*span), F.col(category)).otherwise(0)).alias(name)
+        low, high = span
+        wanted = F.lit((1 << high + 1) - (1 << low)).cast("bigint")
+        days = F.bit_count(F.col(f"_{category}").bitwiseAND(wanted))
+        return F.coalesce(days, F.lit(0)).cast("bigint").alias(name)
 
     counted = [
         (category, span, name.format(category))
@@ -100,8 +111,9 @@ def onboarding(
         for name, span in SPANS.items()
     ] + [("Any", span, name) for name, span in TOTAL_SPANS.items()]
     return (
-        users.join(flags, near, "left")
+        users.join(months, near, "left")
         .groupBy(*_USER_COLUMNS)
-        .agg(*[days_in(*c) for c in counted])
+        .agg(*since_signup)
+        .select(*_USER_COLUMNS, *[days_in(*c) for c in counted])
         .withColumn("Retained", rel.flag(F.col("ActiveDays30To60DaysAfterSignup") > 0))
     )

@@ -116,6 +116,25 @@ def active_months(events: DataFrame, types: Iterable[str]) -> DataFrame:
     )
 
 
+def category_months(events: DataFrame, categories: Mapping[str, Iterable[str]]) -> DataFrame:
+    """One row per (user, month) with a bitmap of active days per category, in one pass.
+
+    The bitmap is NULL for a category without an event in the month.
+    """
+    wanted = sorted({t for types in categories.values() for t in types})
+    return (
+        event_scan(events, wanted)
+        .where(F.col("OpenId").isNotNull())
+        .groupBy("OpenId", F.trunc("Timestamp", "MM").alias("ActiveMonth"))
+        .agg(
+            *[
+                day_bits(F.when(one_of("EventType", types), F.col("Timestamp"))).alias(name)
+                for name, types in categories.items()
+            ]
+        )
+    )
+
+
 def span_bits(days: Column, month: Column, low: Column, high: Column) -> Column:
     """The days of ``month`` that lie in the closed span, as bits from its first day.
 

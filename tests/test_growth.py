@@ -1,6 +1,8 @@
 import datetime as dt
+import random
 
 from cohortia.operators import growth, onboarding
+from cohortia.operators import relational as rel
 from cohortia.sources import taxonomy
 from tests.conftest import by_key, day, rows
 
@@ -154,6 +156,41 @@ def test_onboarding_spans(make):
     assert found["quiet"] == ("Marketing Inbound", "Other", 0, 0, 0, 0, 0, 0, 0, 0)
 
 
+def test_onboarding_spans_over_months(make):
+    """Signups on any day of a month, events on many days and types, against sets of days;
+    repeated user rows and repeated events of a day change nothing."""
+    draw = random.Random(12)
+    start = dt.datetime(2018, 1, 1)
+    signups = {f"u{i}": start + dt.timedelta(days=draw.randrange(120), hours=draw.choice((0, 15))) for i in range(40)}
+    kinds = [t for types in taxonomy.ONBOARDING.values() for t in types] + ["Unlisted"]
+    log = [
+        (f"u{draw.randrange(40)}", draw.choice(kinds), (start + dt.timedelta(days=draw.randrange(200), hours=23)).isoformat())
+        for _ in range(3000)
+    ]
+    users_ = [(user, "C1", at.isoformat()) for user, at in signups.items()]
+    got = {r.UserId: r for r in onboarded(make, users_ + users_[:5], log + log[:500]).collect()}
+    assert got.keys() == signups.keys()
+    any_ = set(taxonomy.activity_types("Acme"))
+    for user, at in signups.items():
+        def days(types, low, high):
+            offsets = {(dt.date.fromisoformat(t[:10]) - at.date()).days for u, k, t in log if u == user and k in types}
+            return sum(low <= offset <= high for offset in offsets)
+
+        for category, types in taxonomy.ONBOARDING.items():
+            for name, span in onboarding.SPANS.items():
+                assert got[user][name.format(category)] == days(types, *span), (user, category, span)
+        for name, span in onboarding.TOTAL_SPANS.items():
+            assert got[user][name] == days(any_, *span)
+        assert got[user].Retained == int(days(any_, 30, 60) > 0)
+
+
+def test_onboarding_joins_months(make):
+    """The join meets a row per user and month, however many days and events there are."""
+    log = make.events([("u", "TeamserverCommit", f"2018-01-{d:02d} {h:02d}:00") for d in range(1, 32) for h in range(4)])
+    months = rel.category_months(log, {**taxonomy.ONBOARDING, "Any": ("TeamserverCommit",)})
+    assert [(r.OpenId, r.Dev, r.Any) for r in months.collect()] == [("u", 2**31 - 1, 2**31 - 1)]
+
+
 def test_onboarding_activation(make):
     got = onboarded(
         make, [("a", "C1", "2018-01-01"), ("b", "C1", "2018-01-01"), ("c", "C1", "2018-01-01")],
