@@ -27,7 +27,8 @@ class Settings:
     company, ``product`` the prefix of its review event, ``question`` the signup
     question that decides the customer type.  The reports cover what is later than
     ``growth_since`` (growth metrics), ``log_since`` (the reduced log) and
-    ``new_users_since``, and challenges within ``challenges_between``.
+    ``new_users_since``, and challenges within ``challenges_between``.  With a
+    ``collation`` all texts compare by it; reports hold them as the source writes them.
     """
 
     source: str
@@ -42,6 +43,7 @@ class Settings:
     challenges_between: tuple[dt.datetime, dt.datetime]
     excluded_owners: tuple[str, ...] = ()
     log_partition: str = "day"
+    collation: str | None = None
 
 
 class Jobs:
@@ -53,16 +55,27 @@ class Jobs:
     # --- tables ---------------------------------------------------------------
 
     def base(self, name: str) -> DataFrame:
-        return tables.read_table(self.spark, self.s.source, name)
+        return self._compared(tables.read_table(self.spark, self.s.source, name))
 
     def report(self, name: str) -> DataFrame:
-        return tables.read_table(self.spark, self.s.target, name)
+        return self._compared(tables.read_table(self.spark, self.s.target, name))
 
     def replace(self, name: str, rows: DataFrame) -> None:
-        tables.replace_table(rows, self.s.target, name)
+        tables.replace_table(self._stored(rows), self.s.target, name)
+
+    def staged(self, name: str, rows: DataFrame) -> DataFrame:
+        return self._compared(tables.staged(self._stored(rows), self.s.target, name))
 
     def initiative_log(self) -> DataFrame:
-        return tables.read_event_log(self.spark, self.s.target, "initiatives_events")
+        return self._compared(
+            tables.read_event_log(self.spark, self.s.target, "initiatives_events")
+        )
+
+    def _compared(self, rows: DataFrame) -> DataFrame:
+        return tables.collated(rows, self.s.collation) if self.s.collation else rows
+
+    def _stored(self, rows: DataFrame) -> DataFrame:
+        return tables.exact(rows) if self.s.collation else rows
 
     # --- jobs -----------------------------------------------------------------
 
@@ -70,7 +83,8 @@ class Jobs:
         """The reduced event log and the key growth metrics."""
         events = self.base("platform_event")
         tables.write_event_log(
-            growth.initiative_events(events, after=self.s.log_since), self.s.target, "initiatives_events",
+            self._stored(growth.initiative_events(events, after=self.s.log_since)),
+            self.s.target, "initiatives_events",
             by=self.s.log_partition,
         )
         types = taxonomy.growth_types(self.s.product)
@@ -90,9 +104,7 @@ class Jobs:
         kgm = self.report("initiatives_kgm")
         self.replace("signup_experiment_allocation", signup.experiment_allocation(log))
         self.replace("signup_funnel", signup.signup_step_funnel(log, internal=internal))
-        answers = tables.staged(
-            signup.form_answers(log, internal=internal), self.s.target, "signup_answers"
-        )
+        answers = self.staged("signup_answers", signup.form_answers(log, internal=internal))
         self.replace("signup_pageinfo_full", signup.page_info_daily(answers))
         self.replace(
             "customer_types", signup.customer_types(answers, log, question=self.s.question)
@@ -139,7 +151,7 @@ class Jobs:
                 experiments.ab_significance(long, as_of=self.s.as_of, weight=weight),
                 self.base("experiment_current"),
             )
-            tables.append_day(results, self.s.target, name, value=self.s.as_of.date())
+            tables.append_day(self._stored(results), self.s.target, name, value=self.s.as_of.date())
 
     def guided_tours(self) -> None:
         """Tutorial reports in their three forms, and flow conversion."""
@@ -176,14 +188,14 @@ class Jobs:
         activity, internal = taxonomy.activity_types(self.s.product), self.s.internal
         people = onboarding.onboarding_users(users, events, company, internal=internal)
         self.replace("onboarding_new_users", onboarding.onboarding(people, events, activity=activity))
-        rows = tables.staged(
+        rows = self.staged(
+            "existing_user_churn",
             existing.existing_user_churn_flags(
                 existing.monthly_existing_users(
                     months, users, events, types=activity, internal=internal
                 ),
                 as_of=self.s.as_of,
             ),
-            self.s.target, "existing_user_churn",
         )
         self.replace("existing_users", existing.existing_users_certified(rows, users))
         self.replace("existing_users_year", existing.existing_users_by_year(rows, users))

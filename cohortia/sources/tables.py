@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 _POINTER = "_current"
@@ -61,6 +62,29 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{table}/{version}" if version else table)
 
 
+def collated(
+    rows: DataFrame, collation: str = "UTF8_LCASE_RTRIM", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """``rows`` whose text ``columns`` (all, if not named) compare by ``collation``.
+
+    The default takes upper and lower case, and trailing blanks or none, as equal: in
+    predicates, joins, groups and distinct counts of every operator.  Collate all tables
+    of a job alike, as texts of two collations do not compare.  Spark tests collated texts
+    after the scan; partition filters and filters on other types still reach it.
+    """
+    named = {f.name for f in rows.schema if isinstance(f.dataType, StringType)}
+    wanted = named if columns is None else named.intersection(columns)
+    return rows.select(*[
+        F.collate(F.col(f"`{c}`"), collation).alias(c) if c in wanted else F.col(f"`{c}`")
+        for c in rows.columns
+    ])
+
+
+def exact(rows: DataFrame) -> DataFrame:
+    """``rows`` with texts compared byte by byte again, as stored tables hold them."""
+    return collated(rows, "UTF8_BINARY")
+
+
 def replace_table(
     rows: DataFrame, root: str, name: str, *, partition_by: Sequence[str] = ()
 ) -> None:
