@@ -547,13 +547,13 @@ def nested_json(t):
         """concat('[{"flag":"', l_returnflag, '","items":[{"line":', l_linenumber, '},{"line":"', l_linestatus, '"}]}]')"""
     )
     outer = t.raw("lineitem").select(
-        "l_orderkey", F.explode(payload.open_json(doc, "struct<flag:string,items:string>")).alias("o")
+        "l_orderkey", F.explode(payload.open_variant(doc)).alias("o")
     )
     inner = outer.select(
-        "l_orderkey", payload.scalar_text(F.col("o.flag")).alias("l_returnflag"),
-        F.explode(payload.open_json(F.col("o.items"), "struct<line:string>")).alias("i"),
+        "l_orderkey", payload.scalar_at(F.col("o"), "$.flag").alias("l_returnflag"),
+        F.explode(payload.members(payload.at(F.col("o"), "$.items"))).alias("i"),
     )
-    return inner.groupBy("l_returnflag", payload.scalar_text(F.col("i.line")).alias("line")).agg(
+    return inner.groupBy("l_returnflag", payload.scalar_at(F.col("i"), "$.line").alias("line")).agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("l_orderkey").alias("orders")
     )
 

@@ -1,7 +1,8 @@
 """Reading JSON payload columns.
 
-One ``from_json`` per row decodes all wanted fields at once.  Scalars come back
-as text; objects and arrays asked for as scalars come back as NULL.
+Fields of one level are decoded by one ``from_json`` with a schema.  Payloads opened over
+several levels are parsed once, to a variant, and every level reads that value.  Scalars
+come back as text; objects and arrays asked for as scalars come back as NULL.
 """
 
 from __future__ import annotations
@@ -61,3 +62,43 @@ def open_json(payload: Column, element: str) -> Column:
     NULL, empty and invalid payloads give no rows under ``explode``.
     """
     return F.from_json(payload, f"array<{element}>")
+
+
+def _is_container(value: Column, path: str = "$") -> Column:
+    as_object = F.try_variant_get(value, path, "map<string,variant>")
+    return as_object.isNotNull() | F.try_variant_get(value, path, "array<variant>").isNotNull()
+
+
+def members(value: Column) -> Column:
+    """Members of a variant that is an array, or the one object, for use with ``explode``.
+
+    NULL, scalars and empty arrays give no rows; an array member that is no object gives a
+    row whose fields are NULL.
+    """
+    one_object = F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
+    return F.coalesce(
+        F.try_variant_get(value, "$", "array<variant>"), F.when(one_object, F.array(value))
+    )
+
+
+def open_variant(payload: Column) -> Column:
+    """:func:`members` of JSON text, which is parsed once; invalid text gives no rows.
+
+    An object that repeats a key is invalid.
+    """
+    # the lambda's variable holds the parsed value, however often it is read
+    return F.flatten(F.transform(F.array(F.try_parse_json(payload)), members))
+
+
+def at(value: Column, path: str) -> Column:
+    """The variant at ``path`` of a variant, NULL where there is none."""
+    return F.try_variant_get(value, path, "variant")
+
+
+def scalar_at(value: Column, path: str) -> Column:
+    """Scalar at ``path`` of a variant as text, NULL for objects, arrays and absent paths.
+
+    A variant keeps the value of a number, not its spelling: 1.0 and 1.50 read 1 and 1.5.
+    """
+    found = F.try_variant_get(value, path, "string")
+    return F.when(~(_looks_nested(found) & _is_container(value, path)), found)

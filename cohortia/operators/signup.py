@@ -13,8 +13,6 @@ from cohortia.operators import relational as rel
 from cohortia.sources import taxonomy
 
 _VISIT_PAYLOAD = "struct<GroupName:string,Experiment:struct<ID:string>>"
-_QUESTIONS = "struct<QuestionName:string,Answers:string>"
-_ANSWERS = "struct<AnswerContent:string,SortOrder:string,Selected:string>"
 
 
 # --- experiment allocation -------------------------------------------------------
@@ -422,19 +420,20 @@ def form_answers(events: DataFrame, *, internal: str) -> DataFrame:
             F.min(payload.json_query(F.col("ExtraInfo3"), "$.Questions")).alias("Questions"),
         )
     )
+    question, answer = F.col("Q"), F.col("A")
     questions = pages.select(
         "ConfirmationHash", "SignupFormPage", "PageStatus",
-        F.explode(payload.open_json(F.col("Questions"), _QUESTIONS)).alias("Q"),
+        F.explode(payload.open_variant(F.col("Questions"))).alias("Q"),
     )
     answers = questions.select(
         "ConfirmationHash", "SignupFormPage", "PageStatus",
-        payload.scalar_text(F.col("Q.QuestionName")).alias("QuestionName"),
-        F.explode(payload.open_json(F.col("Q.Answers"), _ANSWERS)).alias("A"),
+        payload.scalar_at(question, "$.QuestionName").alias("QuestionName"),
+        F.explode(payload.members(payload.at(question, "$.Answers"))).alias("A"),
     ).select(
         "ConfirmationHash", "SignupFormPage", "PageStatus", "QuestionName",
-        payload.scalar_text(F.col("A.AnswerContent")).alias("AnswerContent"),
-        F.col("A.SortOrder").try_cast("int").alias("AnswerSortOrder"),
-        payload.scalar_text(F.col("A.Selected")).alias("AnswerSelected"),
+        payload.scalar_at(answer, "$.AnswerContent").alias("AnswerContent"),
+        payload.scalar_at(answer, "$.SortOrder").try_cast("int").alias("AnswerSortOrder"),
+        payload.scalar_at(answer, "$.Selected").alias("AnswerSelected"),
     )
     cookies = (
         rel.event_scan(events, [taxonomy.SIGNUP_STARTED])

@@ -80,6 +80,13 @@ def test_started_payload_is_parsed_with_one_schema(spark):
     assert len(parses) == 1 and "CookieID" in next(iter(parses)) and "JobRole" in next(iter(parses))
 
 
+@pytest.mark.parametrize("name", ["p74_p76_nested_json", "m13_form_answers"])
+def test_opened_payloads_are_parsed_once(no_broadcast, name):
+    text = plan(REGISTRY[name].spark(no_broadcast, SF))
+    opened = [line.count("parseJson(") for line in text.splitlines() if "Generate explode(" in line]
+    assert sorted(opened) == [0, 1] and "from_json(" not in text  # the outer level parses, the inner reads
+
+
 def test_new_users_compute_their_inputs_once(no_broadcast):
     text = plan(REGISTRY["m16_new_users"].spark(no_broadcast, SF))
     assert text.count("LeftAnti") == 0

@@ -156,6 +156,28 @@ def test_open_json_row_counts(spark):
     assert rows(out, "name", "j.a") == [("array", "1"), ("array", "2"), ("object", "1")]
 
 
+def test_open_variant_row_counts(spark):
+    values = {
+        "object": '{"a":"1"}', "array": '[{"a":"1"},{"a":2}]', "empty": "[]", "blank": "", "null": None, "bad": "{",
+        "scalar": "3", "text": '"[1]"', "json null": "null", "repeated key": '{"a":1,"a":2}', "mixed": '[{"a":"1"},7,null]',
+    }
+    df = spark.createDataFrame(list(values.items()), "name string, d string")
+    out = df.select("name", F.explode(payload.open_variant(F.col("d"))).alias("j"))
+    got = out.select("name", payload.scalar_at(F.col("j"), "$.a").alias("a"))
+    assert rows(got) == [
+        ("array", "1"), ("array", "2"), ("mixed", None), ("mixed", None), ("mixed", "1"), ("object", "1")]
+
+
+def test_variant_scalars_and_levels(spark):
+    doc = '{"a":{"b":1},"l":[1],"s":"[x]","v":"[1]","t":true,"n":null,"A":"up","e":"","d":1.50,"i":1.0}'
+    value = F.try_parse_json(F.lit(doc))
+    paths = ("$.a", "$.l", "$.s", "$.v", "$.t", "$.n", "$.a.b", "$.z", "$.A", "$.e", "$.d", "$.i")
+    assert one(spark, *[payload.scalar_at(value, p) for p in paths]) == (
+        None, None, "[x]", "[1]", "true", None, "1", None, "up", "", "1.5", "1")
+    sizes = [F.size(payload.members(payload.at(value, p))) for p in ("$.a", "$.l", "$.s", "$.n", "$.z")]
+    assert one(spark, *sizes) == (1, 1, None, None, None)
+
+
 def test_unpivot_drops_null(spark):
     df = spark.createDataFrame([(1, 5, None), (2, None, None)], "id int, a int, b int")
     assert rows(rel.unpivot_values(df, ["id"], ["a", "b"])) == [(1, "a", 5)]
