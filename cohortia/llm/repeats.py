@@ -8,16 +8,20 @@ Burrows-Wheeler transform is cut into runs, and only at the ends of runs is the
 with the neighbouring suffix measured.  Everywhere else it is one byte shorter than that
 of the byte before, so the matching statistics of the block stream from the run ends in
 the order of the text.
+
+A key whose spans are more text than a block, as of a line that very many documents hold,
+is divided by the least of the same grams under another order, and again; what is still too
+much is divided by the strings themselves.  The work stays linear in the text of any key.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
-from hashlib import sha256
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortia.llm.common import parts_for, scan, stage
@@ -25,6 +29,8 @@ from cohortia.llm.common import parts_for, scan, stage
 LENGTH = 400  # bytes of a string that must not repeat
 GRAM = 32  # bytes of a gram, a power of two
 BLOCK = 1_000_000  # bytes that are indexed together
+ORDERS = 3  # orders of grams by which a key is divided before its strings divide it
+ROWS = 50_000  # rows that a task holds before it passes them on
 _TABLE = np.random.default_rng(400).integers(0, 1 << 64, 256, np.uint64, endpoint=False)
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -34,22 +40,32 @@ def gram_hashes(data: bytes, gram: int = GRAM) -> np.ndarray:
     """A hash of the gram at every start."""
     h = _TABLE[np.frombuffer(data, np.uint8)]
     width, factor = 1, _BASE
-    while width < gram:
+    while 2 * width <= gram:
         h = h[:-width] * np.uint64(factor) + h[width:]
         width, factor = 2 * width, factor * factor & _MASK
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
+    if width < gram:  # two that overlap make a gram of any size
+        h = h[:width - gram] * np.uint64(factor) + h[gram - width:]
+    return _mixed(h, 0xBF58476D1CE4E5B9)
+
+
+def _mixed(h: np.ndarray, factor: int) -> np.ndarray:
+    h = (h ^ h >> np.uint64(29)) * np.uint64(factor)
     return h ^ (h >> np.uint64(32))
 
 
-def spans(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[int, int, int, bool]]:
+def spans(
+    data: bytes, length: int = LENGTH, gram: int = GRAM, order: int = 0
+) -> list[tuple[int, int, int, bool]]:
     """(key, first start, last start, many) of each run of starts with one key.
 
+    ``order``: which order of the grams makes one of them the least.
     ``many``: the span has the gram of its key more than once, and may match itself.
     """
     if len(data) < length:
         return []
     h = gram_hashes(data, gram)
+    for _ in range(order):
+        h = _mixed(h + np.uint64(_BASE), 0x94D049BB133111EB)
     window = length - gram + 1
     least, width = h, 1
     while 2 * width <= window:
@@ -72,7 +88,7 @@ def spans(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[int
     for key, a, b in zip(keys.tolist(), first.tolist(), last.tolist()):
         at = by_key.get(key, ())
         out.append((key - (1 << 63), a, b,
-                    len(at) > 1 and sum(a <= place < b + window for place in at) > 1))
+                    bisect_left(at, b + window) - bisect_left(at, a) > 1))
     return out
 
 
@@ -201,44 +217,87 @@ def _all_spans(docs: DataFrame, length: int, gram: int) -> DataFrame:
         "doc_id long, th long, key long, digest long, first int, last int, many boolean")
 
 
-def _covered_by_index(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """(doc_id, th, first, last) of the bytes that matches within indexed blocks cover.
+def _sorted_out(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Spans that repeat as a whole, and those that are left to compare.
 
-    ``wanted``: key, digest, n and one occurrence of each span to index.  A key with more
-    text than a block is cut into parts, and every pair of parts is indexed.
+    The first are all rows of a span there ``times`` more than once; the others are key,
+    digest, n and one occurrence of each span.
     """
-    sums = wanted.groupBy("key").agg(
-        F.ceil(F.sum(F.col("last") - F.col("first") + length) / BLOCK).alias("parts"))
-    i, j = F.least("part", "other"), F.greatest("part", "other")
-    dealt = (
-        wanted.join(sums, "key").withColumn("part", F.pmod(F.xxhash64("digest"), "parts"))
-        .withColumn("other", F.explode(F.expr("sequence(0L, parts - 1)")))
-        .withColumns({"i": i, "j": j}).drop("parts", "part", "other")
-    )
-    by_doc = dealt.groupBy("doc_id", "th").agg(
-        F.collect_list(F.struct("key", "digest", "n", "first", "last", "i", "j")).alias("cuts"))
-    texts = docs.alias("d").join(
+    groups = rows.groupBy("key", "digest").agg(
+        F.sum("times").alias("n"), F.max("many").alias("many"),
+        F.min(F.struct("doc_id", "th", "first", "last")).alias("one"))
+    keys = groups.groupBy("key").agg(
+        F.count("*").alias("kinds"), F.min("n").alias("fewest"), F.max("many").alias("any_many"))
+    # of interest: a span that occurs twice, or one that may match another or itself
+    keys = keys.filter("kinds > 1 OR fewest > 1 OR any_many")
+    groups = stage(groups.join(keys, "key"))
+    whole = rows.join(groups.filter("n > 1").select("key", "digest"), ["key", "digest"])
+    wanted = groups.filter("fewest = 1 AND (kinds > 1 OR any_many)").select(
+        "key", "digest", "n", "one.doc_id", "one.th", "one.first", "one.last")
+    return whole, wanted
+
+
+def _with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, th, text and the spans wanted of it as ``cuts``."""
+    by_doc = wanted.groupBy("doc_id", "th").agg(
+        F.collect_list(F.struct("key", "digest", "n", "first", "last")).alias("cuts"))
+    return docs.alias("d").join(
         by_doc.alias("w"), F.expr("d.th = w.th AND d.doc_id <=> w.doc_id")
     ).select("d.doc_id", "d.th", "d.text", "cuts")
 
+
+def _divided(docs: DataFrame, wanted: DataFrame, length: int, gram: int, order: int) -> DataFrame:
+    """The wanted spans cut at a further key, as rows of spans there ``times``."""
+    names = ("doc_id", "th", "key", "second", "digest", "first", "last", "many", "times")
+
+    def each(slices: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
+        out = []
+        for part in slices:
+            for id_, th, text, cuts in zip(*(part[c] for c in ("doc_id", "th", "text", "cuts"))):
+                data = text.encode("utf-8", "replace")
+                for c in cuts:
+                    span, at = data[c["first"]:c["last"] + length], c["first"]
+                    for second, first, last, many in spans(span, length, gram, order):
+                        digest = xxhash.xxh3_64_intdigest(span[first:last + length]) - (1 << 63)
+                        out.append((id_, th, c["key"], second, digest, at + first, at + last, many, c["n"]))
+                        if len(out) >= ROWS:
+                            yield dict(zip(names, map(list, zip(*out))))
+                            out = []
+        if out:
+            yield dict(zip(names, map(list, zip(*out))))
+
+    rows = scan(
+        _with_texts(docs, wanted), each,
+        "doc_id long, th long, key long, second long, digest long, first int, last int, many boolean, times long")
+    # rows that repeat id and text give a span of theirs once more, not twice as often
+    return rows.withColumn("key", F.xxhash64("key", "second")).drop("second").dropDuplicates(
+        ["doc_id", "th", "first"])
+
+
+def _covered_by_index(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """(doc_id, th, first, end) of the bytes that matches within indexed blocks cover.
+
+    ``wanted``: key, digest, n and one occurrence of each span to index.  A block holds
+    whole keys.
+    """
+
     def cut(slices: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        names = ("doc_id", "th", "key", "digest", "n", "first", "i", "j", "span")
+        names = ("doc_id", "th", "key", "digest", "n", "first", "span")
         for part in slices:
             out = []
             for id_, th, text, cuts in zip(*(part[c] for c in ("doc_id", "th", "text", "cuts"))):
                 data = text.encode("utf-8", "replace")
                 out += [
-                    (id_, th, c["key"], c["digest"], c["n"], c["first"], c["i"], c["j"],
+                    (id_, th, c["key"], c["digest"], c["n"], c["first"],
                      data[c["first"]:c["last"] + length])
                     for c in cuts
                 ]
             yield dict(zip(names, map(list, zip(*out))))
 
     found = scan(
-        texts, cut,
-        "doc_id long, th long, key long, digest long, n long, first int, i long, j long, span binary",
-    ).repartition(parts_for(docs.sparkSession), "key", "i", "j").sortWithinPartitions(
-        "key", "i", "j", "digest")
+        _with_texts(docs, wanted), cut,
+        "doc_id long, th long, key long, digest long, n long, first int, span binary",
+    ).repartition(parts_for(docs.sparkSession), "key").sortWithinPartitions("key", "digest")
 
     def index(slices: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         group, held, last, known = [], 0, None, set()
@@ -255,13 +314,12 @@ def _covered_by_index(docs: DataFrame, wanted: DataFrame, length: int) -> DataFr
                 yield dict(zip(("doc_id", "th", "first", "end"), map(list, zip(*out))))
 
         for part in slices:
-            for id_, th, key, digest, n, first, i, j, span in zip(*part.values()):
-                if held >= BLOCK and last != (key, i, j):
+            for id_, th, key, digest, n, first, span in zip(*part.values()):
+                if held >= BLOCK and last != key:
                     yield from close()
                     group, held, known = [], 0, set()
-                last = key, i, j
-                # a span is there once, though its rows repeat or its pairs share a block
-                if (key, digest) not in known:
+                last = key
+                if (key, digest) not in known:  # a span is there once, though its rows repeat
                     known.add((key, digest))
                     group.append((id_, th, n, first, span))
                     held += len(span)
@@ -271,6 +329,18 @@ def _covered_by_index(docs: DataFrame, wanted: DataFrame, length: int) -> DataFr
     return scan(found, index, "doc_id long, th long, first int, end int")
 
 
+def _merged(cuts: DataFrame) -> DataFrame:
+    """Overlapping cuts of one length as one, a document's in order of the text."""
+    order = Window.partitionBy("doc_id", "th").orderBy("first")
+    apart = F.coalesce(F.col("first") > F.lag("end").over(order), F.lit(True))
+    return (
+        cuts.withColumn("apart", apart.cast("long"))
+        .withColumn("run", F.sum("apart").over(order))
+        .groupBy("doc_id", "th", "run").agg(F.min("first").alias("first"), F.max("end").alias("end"))
+        .drop("run")
+    )
+
+
 def repeated_bytes(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, th (hash of the text) and cuts: (first, end) of repeated bytes, unmerged.
 
@@ -278,22 +348,29 @@ def repeated_bytes(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -
     also starts elsewhere, in any row or in the same.  Rows that repeat id and text are
     copies of each other.
     """
+
+    def covered(whole: DataFrame) -> DataFrame:
+        return whole.select("doc_id", "th", "first", (F.col("last") + length).alias("end"))
+
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    rows = stage(_all_spans(texts, length, gram))
-    groups = rows.groupBy("key", "digest").agg(
-        F.count("*").alias("n"), F.max("many").alias("many"),
-        F.min(F.struct("doc_id", "th", "first", "last")).alias("one"))
-    keys = groups.groupBy("key").agg(
-        F.count("*").alias("kinds"), F.min("n").alias("fewest"), F.max("many").alias("any_many"))
-    # of interest: a span that occurs twice, or one that may match another or itself
-    keys = keys.filter("kinds > 1 OR fewest > 1 OR any_many")
-    groups = stage(groups.join(keys, "key"))
-    whole = rows.join(groups.filter("n > 1").select("key", "digest"), ["key", "digest"]).select(
-        "doc_id", "th", "first", (F.col("last") + length).alias("end"))
-    wanted = groups.filter("fewest = 1 AND (kinds > 1 OR any_many)").select(
-        "key", "digest", "n", "one.doc_id", "one.th", "one.first", "one.last")
-    indexed = _covered_by_index(texts, wanted, length)
-    return whole.union(indexed).groupBy("doc_id", "th").agg(
+    rows = stage(_all_spans(texts, length, gram)).withColumn("times", F.lit(1).cast("long"))
+    whole, wanted = _sorted_out(rows)
+    cuts = covered(whole)
+    for order in range(1, ORDERS + 1):
+        # of keys with more text than a block there is at most one for each block of text
+        heavy = stage(
+            wanted.groupBy("key")
+            .agg(F.sum(F.col("last") - F.col("first") + length).alias("size"), F.count("*").alias("kinds"))
+            .filter((F.col("size") > BLOCK) & (F.col("kinds") > 1)).select("key"))
+        if heavy.isEmpty():
+            break
+        last = order == ORDERS
+        finer = stage(_divided(
+            texts, wanted.join(heavy, "key", "left_semi"), length, length if last else gram, order))
+        whole, left = _sorted_out(finer)
+        cuts = cuts.union(_merged(covered(whole)) if last else covered(whole))
+        wanted = wanted.join(heavy, "key", "left_anti").select(left.columns).union(left)
+    return cuts.union(_covered_by_index(texts, wanted, length)).groupBy("doc_id", "th").agg(
         F.collect_set(F.struct("first", "end")).alias("cuts"))
 
 

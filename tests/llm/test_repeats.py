@@ -65,14 +65,55 @@ def test_spans_cover_every_start():
         found = repeats.spans(data, 20, 4)
         starts = [i for _, a, b, _ in found for i in range(a, b + 1)]
         assert starts == list(range(max(len(data) - 19, 0)))
-        key = {}
-        for k, a, b, _ in found:
-            for i in range(a, b + 1):
-                assert key.setdefault(data[i:i + 20], k) == k
+        for order, gram in ((0, 4), (1, 4), (2, 4), (3, 20)):
+            key = {}
+            for k, a, b, many in repeats.spans(data, 20, gram, order):
+                own = [data[i:i + 20] for i in range(a, b + 1)]
+                assert many or len(set(own)) == len(own)
+                assert all(key.setdefault(string, k) == k for string in own)
+            assert gram < 20 or len(set(key.values())) == len(key)
+
+
+def test_heavy_keys_are_divided(spark, monkeypatch):
+    # a line that all texts hold, longer than a string, between text of their own, numbered
+    # within or not; copies; text of one period; rows that repeat id and text
+    draw = random.Random(5)
+    line = "".join(draw.choices("abcdefghij", k=26))
+    texts = []
+    for i in range(120):
+        own = "".join(draw.choices("klmnopq", k=30))
+        texts.append(own[:15] + (line[:13] + f"{i:03}" + line[13:] if i % 3 else line) + own[15:])
+    texts += [texts[7], texts[8] + "x", "ab" * 60, "ab" * 50 + "c" * 60]
+    docs = samples.docs(spark, texts)
+    monkeypatch.setattr(repeats, "BLOCK", 200)
+    divided, whole = [], repeats._divided
+    monkeypatch.setattr(repeats, "_divided", lambda *a: divided.append(a[-2:]) or whole(*a))
+    got = {r["doc_id"]: tuple(r)[1:] for r in repeats.digests(repeats.without_repeats(docs, length=20, gram=4)).collect()}
+    assert got == dict(enumerate(by_hand(texts, 20)))
+    assert divided == [(4, 1), (4, 2), (20, 3)]
+    twice = docs.union(docs.filter("doc_id IN (1, 7)"))
+    rows = repeats.digests(repeats.without_repeats(twice, length=20, gram=4)).collect()
+    again = by_hand(texts + [texts[1], texts[7]], 20)
+    ids = [*range(len(texts)), 1, 7]
+    assert sorted(tuple(r) for r in rows) == sorted((i, *row) for i, row in zip(ids, again))
+
+
+def test_planted_passages_at_the_bound(spark):
+    # a passage of 399 bytes that two texts hold stays, of 400 and 401 bytes it goes
+    draw = random.Random(9)
+    texts = []
+    for size in (399, 400, 401):
+        passage = "".join(draw.choices("abcdefgh ", k=size - 2))
+        texts += ["<" + "".join(draw.choices("xyz", k=700)) + f"({passage})" + "".join(draw.choices("uvw", k=300)),
+                  "".join(draw.choices("rst", k=500)) + f"({passage})"]
+    rows = repeats.digests(repeats.without_repeats(samples.docs(spark, texts))).collect()
+    got = {r["doc_id"]: tuple(r)[1:] for r in rows}
+    assert got == dict(enumerate(by_hand(texts, 400)))
+    assert [got[i][1] for i in range(6)] == [0, 0, 400, 400, 401, 401]
 
 
 def test_equals_brute_force(spark, monkeypatch):
-    for seed, block in ((1, repeats.BLOCK), (2, 300)):  # the second cuts keys into parts
+    for seed, block in ((1, repeats.BLOCK), (2, 300)):  # the second divides keys
         monkeypatch.setattr(repeats, "BLOCK", block)
         texts = strings(seed)
         rows = repeats.digests(repeats.without_repeats(samples.docs(spark, texts), length=20, gram=4)).collect()
