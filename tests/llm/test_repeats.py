@@ -98,6 +98,47 @@ def test_heavy_keys_are_divided(spark, monkeypatch):
     assert sorted(tuple(r) for r in rows) == sorted((i, *row) for i, row in zip(ids, again))
 
 
+def test_copies_are_compared_once(spark, monkeypatch):
+    # rows of spans do not grow with the copies of a text, nor with near copies as a whole
+    draw = random.Random(11)
+    text = "".join(draw.choices("abcdefghij", k=3000))
+    near = [text[:1500] + f"<{i}>" + text[1503:] for i in range(30)]
+    sorted_out, counts = repeats._sorted_out, []
+
+    def counted(rows):
+        counts.append(rows.count())
+        return sorted_out(rows)
+
+    monkeypatch.setattr(repeats, "_sorted_out", counted)
+    for texts in ([text] * 2, [text] * 40, near):
+        rows = repeats.digests(repeats.without_repeats(samples.docs(spark, texts), length=20, gram=4)).collect()
+        assert {r["doc_id"]: tuple(r)[1:] for r in rows} == dict(enumerate(by_hand(texts, 20)))
+    assert counts[1] == counts[0] and counts[2] < 4 * counts[0]
+
+
+def test_division_moves_only_texts_that_hold_a_heavy_key(spark, monkeypatch):
+    draw = random.Random(12)
+    line = "".join(draw.choices("abcdefghij", k=26))
+    texts = ["".join(draw.choices("klmnopq", k=100)) for _ in range(200)]
+    texts += ["".join(draw.choices("klmnopq", k=30)) + line + "".join(draw.choices("klmnopq", k=30)) for _ in range(30)]
+    monkeypatch.setattr(repeats, "BLOCK", 400)
+    with_texts, moved = repeats._with_texts, []
+    monkeypatch.setattr(repeats, "_with_texts", lambda docs, wanted: moved.append(docs) or with_texts(docs, wanted))
+    rows = repeats.digests(repeats.without_repeats(samples.docs(spark, texts), length=20, gram=8)).collect()
+    assert {r["doc_id"]: tuple(r)[1:] for r in rows} == dict(enumerate(by_hand(texts, 20)))
+    assert len(moved) > 1  # a division at least, then the index
+    assert 30 <= moved[0].count() <= 40
+
+
+def test_periodic_text_is_cut_into_chunks_of_bounded_size():
+    data = b"ab" * 2000
+    found = repeats.spans(data, 20, 20)
+    cut = list(repeats.chunks(data, found, 20))
+    assert [s for *_, own in cut for s in own][0][2:4] == (0, 0)
+    assert sum(len(own) for *_, own in cut) == len(found) == len(data) - 19
+    assert max(len(own) for *_, own in cut) <= repeats.MOST
+
+
 def test_planted_passages_at_the_bound(spark):
     # a passage of 399 bytes that two texts hold stays, of 400 and 401 bytes it goes
     draw = random.Random(9)
