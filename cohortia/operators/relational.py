@@ -238,6 +238,7 @@ def counted(rows: DataFrame, name: str) -> DataFrame:
 
 RUN = 1000  # copies that one row unfolds to in one step
 SPREAD = 10_000  # rows of one listed key value for which a further salt is taken
+PARTS = 16  # in which the rows of a listed key value are counted
 
 
 def unfolded(rows: DataFrame, count: str) -> DataFrame:
@@ -272,10 +273,11 @@ def semi_join_spread(rows: DataFrame, known: DataFrame, key: str, spread: str) -
 
     Both sides carry a salt, drawn from ``spread`` on the left and all salts on the
     right, so that one value goes to many tasks: one for every ``SPREAD`` rows that the
-    most frequent value has in ``known``, where each value is counted.
+    most frequent value has in ``known``, where each value is counted in ``PARTS`` parts.
     """
-    counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    salts = F.coalesce(F.ceil(F.max("_rows") / SPREAD), F.lit(1))
+    part = F.pmod(F.xxhash64(*known.columns), F.lit(PARTS)).alias("_part")
+    counts = known.groupBy(key, part).agg(F.count(F.lit(1)).alias("_rows"))
+    salts = F.coalesce(F.ceil(F.max("_rows") * PARTS / SPREAD), F.lit(1))
     most = counts.agg(salts.cast("bigint").alias("_salts"))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), most.scalar()))
     listed = known.select(key).distinct().withColumn(
